@@ -1,0 +1 @@
+"""Every job in this library is a batch job; there are no streaming operators."""
