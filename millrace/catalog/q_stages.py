@@ -1,0 +1,147 @@
+"""The preparation stages and a whole experiment, on orders and customers."""
+
+from pyspark.sql import functions as F
+
+from millrace.catalog.q_joins import PLAYER_DATA, PLAYERS
+from millrace.catalog.q_transform import _rank_sql
+from millrace.catalog.registry import query, rd, rounded, view_query
+from millrace.plans.stages import (
+    clean_roster,
+    clean_seasons,
+    discretize_stage,
+    integrate_stage,
+    reduce_stage,
+    transform_stage,
+)
+from millrace.plans.supervised import experiment
+from millrace.session import materialize
+
+SEASONS = """
+    SELECT o_orderkey AS season,
+           CASE WHEN o_orderkey % 17 = 0 THEN NULL
+                ELSE 'Customer#' || lpad(CAST(o_custkey AS VARCHAR(20)), 9, '0') END AS Player,
+           CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS Pos,
+           o_orderstatus AS Tm,
+           CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE pow(o_totalprice / 100000, 5) END AS PTS,
+           CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_custkey % 100 AS DOUBLE) END AS Age,
+           o_totalprice / 1000 AS PER,
+           CAST(NULL AS VARCHAR(9)) AS blanl
+    FROM orders"""
+
+ROSTER = """
+    SELECT c_name AS name, c_custkey AS id, c_acctbal AS weight,
+           CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '6-' || CAST(c_custkey % 12 AS VARCHAR(9))
+                              WHEN 2 THEN 'n/a' ELSE CAST(150 + c_custkey % 70 AS VARCHAR(9)) END AS height,
+           CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE DATE '1990-05-01' END AS birth_date,
+           CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS college
+    FROM customer"""
+
+
+@query(
+    "stage_clean_roster",
+    f"""WITH g AS (SELECT DISTINCT * FROM ({ROSTER})),
+             h AS (SELECT *, CASE WHEN height LIKE '%-%' THEN 72 + CAST(split_part(height, '-', 2) AS INT)
+                                  ELSE round_even(TRY_CAST(height AS DOUBLE) / 2.54, 0) END AS inches FROM g)
+        SELECT name, {rd('id')} AS id, {rd('weight')} AS weight, height,
+               {rd('coalesce(inches, (SELECT avg(inches) FROM h))')} AS height_in,
+               strftime(coalesce(birth_date, DATE '1900-01-01'), '%Y-%m-%d') AS birth_date,
+               coalesce(college, 'Unknown') AS college
+        FROM h""",
+)
+def roster_cleaned(spark, d):
+    rows = clean_roster(view_query(spark, d, ROSTER, "customer"))
+    return rows.select(
+        "name", rounded("id").alias("id"), rounded("weight").alias("weight"), "height",
+        rounded("height_in").alias("height_in"),
+        F.date_format("birth_date", "yyyy-MM-dd").alias("birth_date"), "college",
+    )
+
+
+@query(
+    "stage_clean_seasons",
+    f"""WITH g AS (SELECT DISTINCT * EXCLUDE (blanl) FROM ({SEASONS})),
+             f AS (SELECT season, coalesce(Player, 'Unknown') AS Player,
+                          regexp_replace(coalesce(Pos, 'Unknown'), '-.*', '') AS Pos, Tm,
+                          coalesce(PTS, (SELECT avg(PTS) FROM g)) AS PTS,
+                          coalesce(Age, (SELECT avg(Age) FROM g)) AS Age, PER FROM g),
+             s1 AS (SELECT avg(PTS) AS m, stddev_samp(PTS) AS s FROM f),
+             r1 AS (SELECT f.* FROM f, s1 WHERE abs((PTS - m) / s) <= 3),
+             s2 AS (SELECT avg(Age) AS m, stddev_samp(Age) AS s FROM r1),
+             r2 AS (SELECT r1.* FROM r1, s2 WHERE abs((Age - m) / s) <= 3)
+        SELECT {rd('season')} AS season, Player, Pos, Tm, {rd('PTS', 4)} AS "PTS", {rd('Age')} AS "Age",
+               {rd('PER')} AS "PER" FROM r2""",
+)
+def seasons_cleaned(spark, d):
+    rows = clean_seasons(view_query(spark, d, SEASONS, "orders"))
+    return rows.select(
+        rounded("season").alias("season"), "Player", "Pos", "Tm", rounded("PTS", 4).alias("PTS"),
+        rounded("Age").alias("Age"), rounded("PER").alias("PER"),
+    )
+
+
+def integrated(spark, d):
+    seasons = clean_seasons(view_query(spark, d, SEASONS, "orders"))
+    players = clean_roster(view_query(spark, d, PLAYERS, "customer"))
+    data = clean_roster(view_query(spark, d, PLAYER_DATA, "customer"))
+    return integrate_stage(seasons, players, data)
+
+
+@query("stage_integrate")
+def stage_integrated(spark, d):
+    return integrated(spark, d)
+
+
+@query("stage_reduce")
+def stage_reduced(spark, d):
+    return reduce_stage(integrated(spark, d))
+
+
+TRANSFORMED = """
+    SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+           CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority, o_orderstatus
+    FROM orders"""
+_NUMBERS = ("o_orderkey", "o_totalprice", "o_custkey")
+
+
+@query(
+    "stage_transform",
+    f"""WITH g AS (SELECT * FROM ({TRANSFORMED}) WHERE o_custkey IS NOT NULL),
+             p AS {_rank_sql('g', 'o_orderpriority')}, s AS {_rank_sql('g', 'o_orderstatus')},
+             m AS (SELECT {', '.join(f'min({c}) AS {c}_l, max({c}) AS {c}_h, avg({c}) AS {c}_a, stddev_samp({c}) AS {c}_s' for c in _NUMBERS)}
+                   FROM g)
+        SELECT o_orderkey, {', '.join(f"{rd(f'({c} - {c}_l) / ({c}_h - {c}_l)')} AS {c}_minmax, {rd(f'({c} - {c}_a) / {c}_s')} AS {c}_standard" for c in _NUMBERS)},
+               coalesce(p.i, (SELECT count(*) FROM p)) AS o_orderpriority_index,
+               coalesce(s.i, (SELECT count(*) FROM s)) AS o_orderstatus_index,
+               CASE WHEN p.i IS NULL THEN 0.0 ELSE 1.0 END AS priority_bits
+        FROM g LEFT JOIN p USING (o_orderpriority) LEFT JOIN s USING (o_orderstatus), m""",
+)
+def stage_transformed(spark, d):
+    rows = transform_stage(view_query(spark, d, TRANSFORMED, "orders"))
+    bits = F.aggregate("o_orderpriority_index_onehot", F.lit(0.0), lambda a, x: a + x)
+    scaled = [f"{c}_{s}" for c in _NUMBERS for s in ("minmax", "standard")]
+    return rows.select(
+        "o_orderkey",
+        *[rounded(c).alias(c) for c in scaled],
+        "o_orderpriority_index",
+        "o_orderstatus_index",
+        bits.alias("priority_bits"),
+    )
+
+
+@query("stage_discretize")
+def stage_discretized(spark, d):
+    rows = view_query(spark, d, SEASONS, "orders").na.fill(0.0, ["PTS", "Age"])
+    return discretize_stage(rows.drop("blanl"), key="season")
+
+
+def chain(spark, d):
+    """Clean, join, label, split, fit, report."""
+    joined = materialize(reduce_stage(integrated(spark, d)), "reduced")
+    return experiment(
+        joined, "logistic", targets=("ss_PER",), key="ss_season", classes=["below", "above"]
+    ).report
+
+
+@query("experiment_logistic")
+def experiment_report(spark, d):
+    return chain(spark, d)

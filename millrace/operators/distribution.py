@@ -1,8 +1,8 @@
 """Histograms, density curves, exact quantiles and box summaries.
 
-Quantiles and running totals sort no group as a whole. Values are pre-counted,
-cut into value ranges of similar size, and only the ranges that matter are
-sorted, each on its own.
+Quantiles and running totals sort no group as a whole. Values are cut into
+ranges of similar size, and each range is sorted on its own. For quantiles only
+the ranges that hold a wanted value leave the task they were read in.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
+from millrace.session import broadcast_small
 
-RANGES = 256
+# Number of value ranges. Their cut points come from a sketch with an error of a quarter range.
+RANGES = 1024
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -75,8 +77,10 @@ def kde(df: DataFrame, col: str, points: int = 200) -> DataFrame:
 def value_ranges(df: DataFrame, col: str, ranges: int = RANGES) -> list[float]:
     """Approximate cut points that split the values of ``col`` into even parts."""
     shares = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(ref(col).cast("double"), shares, 10000)).first()[0]
-    return sorted({x for x in found or [] if x == x})
+    if not shares:
+        return []
+    numbers = df.select(ref(col).cast("double").alias("x"))
+    return sorted(set(numbers.approxQuantile("x", shares, 0.25 / ranges)))
 
 
 def with_range(df: DataFrame, col: str, cuts: Sequence[float], out: str = "__range") -> DataFrame:
@@ -126,13 +130,11 @@ def _null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [ref(x).eqNullSafe(ref(y)) for x, y in zip(left, right)])
 
 
-def value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., v, c)``: number of rows per group and value, without null and NaN."""
+def _values(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
+    """``(by..., v)`` without null and NaN."""
     v = ref(col)
     rows = df.filter(v.isNotNull() & ~F.isnan(v.cast("double")))
-    return rows.groupBy(*[ref(b).alias(b) for b in by], v.alias("v")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
+    return rows.select(*[ref(b) for b in by], v.alias("v"))
 
 
 def exact_quantiles(
@@ -149,23 +151,22 @@ def exact_quantiles(
     smallest value that covers the share is taken.
     """
     by = list(by)
-    counts = with_range(value_counts(df, col, by), "v", value_ranges(df, col, ranges))
-    before = (
-        Window.partitionBy(*by)
-        .orderBy("__range")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    whole = Window.partitionBy(*by)
+    keys = [*by, "__range"]
+    values = _values(df, col, by)
+    cut = with_range(values, "v", value_ranges(values, "v", ranges))
+    # at most RANGES rows per group
+    groups = Window.partitionBy(*[ref(b) for b in by])
+    before = groups.orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = (
-        counts.groupBy(*by, "__range")
-        .agg(F.sum("c").alias("in_range"))
-        .withColumns({"to_here": F.sum("in_range").over(before), "n": F.sum("in_range").over(whole)})
+        cut.groupBy(*[ref(k) for k in keys])
+        .agg(F.count(F.lit(1)).alias("in_range"))
+        .withColumns({"to_here": F.sum("in_range").over(before), "n": F.sum("in_range").over(groups)})
     )
     share = F.explode(F.array(*[F.lit(float(s)) for s in shares]))
     if interpolate:
         exact = F.col("share") * (F.col("n") - 1)
         picks = F.array(F.floor(exact), F.ceil(exact))
-        weights = F.col("share") * (F.col("n") - 1) - F.floor(F.col("share") * (F.col("n") - 1))
+        weights = exact - F.floor(exact)
     else:
         first = F.greatest(F.ceil(F.col("share") * F.col("n")) - 1, F.lit(0))
         picks = F.array(first)
@@ -174,15 +175,20 @@ def exact_quantiles(
         totals.withColumn("share", share)
         .withColumns({"weight": weights, "pick": F.explode(picks)})
         .filter("pick >= to_here - in_range and pick < to_here")
-        .select(*by, "__range", "share", "weight", "pick", (F.col("to_here") - F.col("in_range")).alias("skip"))
+        .select(
+            *[ref(k) for k in keys], "share", "weight", "pick",
+            (F.col("to_here") - F.col("in_range")).alias("skip"),
+        )
     )
-    keys = [*by, "__range"]
     theirs = [f"__w{i}" for i in range(len(keys))]
-    wanted = wanted.select(
-        *[ref(k).alias(w) for k, w in zip(keys, theirs)], "share", "weight", "pick", "skip"
+    wanted = broadcast_small(
+        wanted.select(*[ref(k).alias(w) for k, w in zip(keys, theirs)], "share", "weight", "pick", "skip")
+    )
+    few = (
+        cut.join(wanted, _null_safe(keys, theirs), "left_semi")
+        .groupBy(*[ref(k) for k in keys], "v")
+        .agg(F.count(F.lit(1)).alias("c"))
     )
-    # only the ranges that hold a wanted value are sorted
-    few = counts.join(wanted.select(*theirs).distinct(), _null_safe(keys, theirs), "left_semi")
     within = (
         Window.partitionBy(*[ref(k) for k in keys])
         .orderBy("v")
@@ -200,7 +206,7 @@ def exact_quantiles(
 
 def box_summary(df: DataFrame, col: str, by: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (last values within ``reach`` IQR) and outlier count per group."""
-    quartiles = (
+    quartiles = broadcast_small(
         exact_quantiles(df, col, [0.25, 0.5, 0.75], [by])
         .groupBy(ref(by).alias("__by"))
         .agg(
@@ -209,16 +215,16 @@ def box_summary(df: DataFrame, col: str, by: str, reach: float = 1.5) -> DataFra
                 for s, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
             ]
         )
-        .withColumn("__span", (F.col("q3") - F.col("q1")) * F.lit(reach))
     )
-    rows = value_counts(df, col, [by]).join(quartiles, _null_safe([by], ["__by"]))
-    inside = (F.col("v") >= F.col("q1") - F.col("__span")) & (F.col("v") <= F.col("q3") + F.col("__span"))
+    rows = _values(df, col, [by]).join(quartiles, _null_safe([by], ["__by"]))
+    span = (F.col("q3") - F.col("q1")) * F.lit(reach)
+    inside = (F.col("v") >= F.col("q1") - span) & (F.col("v") <= F.col("q3") + span)
     return rows.groupBy(ref(by)).agg(
-        F.sum("c").alias("n"),
+        F.count(F.lit(1)).alias("n"),
         F.first("q1").alias("q1"),
         F.first("median").alias("median"),
         F.first("q3").alias("q3"),
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("c"))), F.lit(0)).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
     )

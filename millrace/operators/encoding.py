@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
 from millrace.operators.joins import HOT_ROWS, left_join
-from millrace.session import materialize
+from millrace.session import collect_small, materialize
 
 SHORT_LIST = 10_000
 DENSE_WIDTH = 1_024
@@ -28,8 +28,8 @@ def label_ranks(df: DataFrame, col: str, short_list: int = SHORT_LIST) -> tuple[
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ranked = counts.orderBy(F.desc("n"), F.asc("label"))
-    head = ranked.select("label").limit(short_list + 1).collect()
-    if len(head) <= short_list:
+    head = collect_small(ranked.select("label"), short_list)
+    if head is not None:
         rows = [(r["label"], float(i)) for i, r in enumerate(head)]
         kind = df.schema[col].dataType.simpleString()
         ranks = df.sparkSession.createDataFrame(rows, f"label {kind}, index double")

@@ -146,12 +146,13 @@ def report_text(report: DataFrame, digits: int = 4) -> str:
     """The report as aligned text: classes, blank line, averages. One line per class."""
     rows = report.orderBy("position").collect()
     width = max([len("weighted avg"), *[len(r["name"]) for r in rows]])
-    lines = [" " * width + "".join(f" {h:>10}" for h in ("precision", "recall", "f1-score", "support")), ""]
+    heads = "".join(f" {h:>9}" for h in ("precision", "recall", "f1-score", "support"))
+    lines = [" " * (width + 1) + heads, ""]
     for r in rows:
         if r["name"] == "accuracy":
             lines.append("")
-        rates = "".join(" " * 11 if r[m] is None else f" {r[m]:>10.{digits}f}" for m in _RATES)
-        lines.append(f"{r['name']:>{width}}{rates} {r['support']:>10}")
+        rates = "".join(" " * 10 if r[m] is None else f" {r[m]:>9.{digits}f}" for m in _RATES)
+        lines.append(f"{r['name']:>{width}} {rates} {r['support']:>9}")
     return "\n".join(lines) + "\n"
 
 

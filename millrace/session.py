@@ -1,11 +1,20 @@
-"""Shared storage for intermediate tables."""
+"""Shared storage for intermediate tables, and size-checked small tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.functions.columns import ref
+
+SMALL_ROWS = 10_000
+SMALL_TEXT = 1_000
+
+_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -16,11 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    path = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = context.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="millrace-")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -37,3 +48,31 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def collect_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row] | None:
+    """The rows when there are at most ``max_rows`` and no text in them is long, else None.
+
+    Never brings more than ``max_rows + 1`` short rows to the driver.
+    """
+    texts = [ref(c) for c, kind in df.dtypes if kind in ("string", "binary")]
+    long = reduce(
+        lambda a, b: a | b,
+        [F.coalesce(F.octet_length(c) > SMALL_TEXT, F.lit(False)) for c in texts],
+        F.lit(False),
+    )
+    fields = [F.when(~F.col("__long"), ref(c)).alias(c) for c in df.columns]
+    checked = df.withColumn("__long", long).select(*fields, "__long").limit(max_rows + 1)
+    rows = checked.collect()
+    if len(rows) > max_rows or any(r["__long"] for r in rows):
+        return None
+    return [Row(**{c: r[c] for c in df.columns}) for r in rows]
+
+
+def broadcast_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """The table as a broadcast local copy when it is small, else as it is."""
+    rows = collect_small(df, max_rows)
+    if rows is None:
+        return df
+    local = [tuple(r[c] for c in df.columns) for r in rows]
+    return F.broadcast(df.sparkSession.createDataFrame(local, df.schema))

@@ -16,7 +16,8 @@ PICTURE_ENDINGS = (".jpg", ".jpeg", ".png")
 def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """All files below ``path`` with time, length and content.
 
-    Content is only read by plans that use it.
+    Content is only read by plans that use it. Spark leaves out files of
+    length zero.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
