@@ -28,6 +28,7 @@ from millrace.operators.cleaning import (
     zscore_filter,
 )
 from millrace.operators.distribution import histogram, kde, label_threshold
+from millrace.session import materialize
 
 
 @query("dedup_rows", "SELECT DISTINCT md5(text) AS text_md5, lang, source FROM documents")
@@ -145,7 +146,9 @@ def zscore_events(spark, d):
 )
 def zscore_documents(spark, d):
     cols = ["n_chars", "n_lines", "n_digits"]
-    return zscore_filter(doc_features(spark, d), cols).select("doc_id", *cols)
+    # written down once, so that the passes do not count in the texts again
+    rows = materialize(doc_features(spark, d).select("doc_id", *cols), "text-counts")
+    return zscore_filter(rows, cols)
 
 
 _GAP_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate"]

@@ -71,9 +71,9 @@ CUSTOMER_GAPS = """
 
 DOC_FEATURES = """
     SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars,
-           CAST(length(text) - length(translate(text, ' ', '')) + 1 AS DOUBLE) AS n_words,
+           CAST(length(text) - length(replace(text, ' ', '')) + 1 AS DOUBLE) AS n_words,
            CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS DOUBLE) AS n_lines,
-           CAST(length(text) - length(translate(text, '0123456789', '')) AS DOUBLE) AS n_digits
+           CAST(len(regexp_extract_all(text, '[0-9]')) AS DOUBLE) AS n_digits
     FROM documents"""
 
 
@@ -97,4 +97,5 @@ def customer_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view_query(spark, sf_dir, DOC_FEATURES, "documents")
+    sql = DOC_FEATURES.replace("len(regexp_extract_all(text, '[0-9]'))", "regexp_count(text, '[0-9]')")
+    return view_query(spark, sf_dir, sql, "documents")

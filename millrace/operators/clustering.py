@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
@@ -72,22 +74,41 @@ def class_centroids(df: DataFrame, label: str, col: str) -> list[list[float]]:
     return [[float(x) for x in r["center"]] for r in means.orderBy("label").collect()]
 
 
-def centroid_distances(col: str, centroids: Sequence[Sequence[float]]):
+def _distance_matrix(points: pd.Series, centers: Sequence[Sequence[float]]) -> np.ndarray:
+    """Squared distances of a batch of points to every centre, one centre at a time."""
+    x = np.stack(points.to_numpy()).astype("float64")
+    return np.stack([((x - np.array(c)) ** 2).sum(axis=1) for c in centers], axis=1)
+
+
+def centroid_distances(col: str, centroids: Sequence[Sequence[float]]) -> Column:
     """Squared distances of an array column to the centres, as an array."""
-    point = ref(col).cast("array<double>")
 
-    def squared(center: Sequence[float]):
-        gaps = F.zip_with(point, F.array(*[F.lit(float(x)) for x in center]), lambda a, b: (a - b) * (a - b))
-        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+    @F.pandas_udf("array<double>")
+    def distances(points: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(points), index=points.index, dtype="object")
+        known = points.dropna()
+        if len(known):
+            out.loc[known.index] = pd.Series(list(_distance_matrix(known, centroids)), index=known.index)
+        return out
 
-    return F.array(*[squared(c) for c in centroids])
+    return distances(ref(col))
 
 
 def nearest_centroid(
     df: DataFrame, centroids: Sequence[Sequence[float]], col: str, out: str = "cluster"
 ) -> DataFrame:
-    """Add the number of the nearest centre, the first one on ties."""
-    distances = centroid_distances(col, centroids)
-    withd = df.withColumn("__distances", distances)
-    nearest = (F.array_position("__distances", F.array_min("__distances")) - 1).cast("int")
-    return withd.withColumn(out, nearest).drop("__distances")
+    """Add the number of the nearest centre, the first one on ties.
+
+    Works on Arrow batches: several times faster than array expressions, which
+    walk the elements one by one.
+    """
+
+    @F.pandas_udf("int")
+    def nearest(points: pd.Series) -> pd.Series:
+        known = points.dropna()
+        if not len(known):
+            return pd.Series([None] * len(points), dtype="object")
+        found = pd.Series(_distance_matrix(known, centroids).argmin(axis=1), index=known.index)
+        return found.reindex(points.index).astype("Int32")
+
+    return df.withColumn(out, nearest(ref(col)))

@@ -97,32 +97,36 @@ def with_range(df: DataFrame, col: str, cuts: Sequence[float], out: str = "__ran
 
 
 def running_totals(
-    df: DataFrame, order: str, values: Sequence[str], cuts: Sequence[float], descending: bool = False
-) -> DataFrame:
-    """Add ``cum_v`` for each value column: its total up to this row in ``order``.
+    df: DataFrame, order: str, values: Sequence[str], descending: bool = False, ranges: int = RANGES
+) -> tuple[DataFrame, dict[str, int]]:
+    """``(order, v..., cum_v...)``, one row per distinct value of ``order``: the sum of each
+    value column there and its total up to there. Also returns the overall totals.
 
-    ``df`` has one row per value of ``order``. Rows are summed within value
-    ranges; the totals of the few ranges before are then added.
+    Rows are summed within value ranges, each sorted on its own; the totals of
+    the ranges before, one row per range, are added to them.
     """
-    way = F.desc if descending else F.asc
-    cut = with_range(df, order, cuts)
-    totals = cut.groupBy("__range").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
-    # at most len(cuts) + 1 rows
-    before = Window.orderBy(way("__range")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col("__range"),
-        *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in values],
-    )
+    cuts = value_ranges(df, order, ranges)
+    per_range = with_range(df, order, cuts).groupBy("__range").agg(*[F.sum(v).alias(v) for v in values])
+    upto = dict.fromkeys(values, 0)
+    offsets = []
+    for row in sorted(per_range.collect(), key=lambda r: r["__range"], reverse=descending):
+        offsets.append((row["__range"], *[upto[v] for v in values]))
+        upto = {v: upto[v] + row[v] for v in values}
+    kinds = {f.name: f.dataType.simpleString() for f in per_range.schema.fields}
+    schema = "__at double" + "".join(f", `__o_{v}` {kinds[v]}" for v in values)
+    before = F.broadcast(df.sparkSession.createDataFrame(offsets, schema))
+
+    points = df.groupBy(ref(order).alias(order)).agg(*[F.sum(v).alias(v) for v in values])
     within = (
         Window.partitionBy("__range")
-        .orderBy(way(order))
+        .orderBy(F.desc(order) if descending else F.asc(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = cut.withColumns({f"__c_{v}": F.sum(v).over(within) for v in values})
-    return summed.join(offsets, "__range").select(
-        *[ref(c) for c in df.columns],
-        *[(F.col(f"__c_{v}") + F.col(f"__o_{v}")).alias(f"cum_{v}") for v in values],
+    summed = with_range(points, order, cuts).withColumns({f"__c_{v}": F.sum(v).over(within) for v in values})
+    out = summed.join(before, F.col("__range") == F.col("__at")).select(
+        order, *values, *[(F.col(f"__c_{v}") + F.col(f"__o_{v}")).alias(f"cum_{v}") for v in values]
     )
+    return out, upto
 
 
 def _null_safe(left: Sequence[str], right: Sequence[str]) -> Column:

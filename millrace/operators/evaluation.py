@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
-from millrace.operators.distribution import running_totals, value_ranges
+from millrace.operators.distribution import running_totals
 
 # Fixed value: class probabilities are kept this far from 0 and 1.
 PROBABILITY_FLOOR = 1e-7
@@ -23,7 +23,10 @@ def _counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """``(label, prediction, n)`` over all classes seen on either side, zeros included."""
     counts = _counts(df, label, prediction)
-    seen = F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction")))
+    # reading n keeps both uses of the counts alike, so they are computed once
+    seen = F.array_sort(
+        F.array_union(*[F.collect_set(F.when(F.col("n") > 0, F.col(c))) for c in ("label", "prediction")])
+    )
     cells = (
         counts.agg(seen.alias("classes"))
         .select("classes", F.explode("classes").alias("label"))
@@ -159,19 +162,19 @@ def report_text(report: DataFrame, digits: int = 4) -> str:
 def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row per score, highest first: positives ``p``, negatives ``n``, their running
     totals ``cum_p``, ``cum_n`` and the overall totals ``all_p``, ``all_n``."""
-    is_positive = F.when(ref(label) == 1, 1).otherwise(0)
-    rows = df.filter(ref(label).isNotNull() & ref(score).isNotNull()).select(
-        ref(score).cast("double").alias("score"), is_positive.alias("p"), (1 - is_positive).alias("n"),
-        ref(label).alias("y"),
-    )
-    all_p, all_n, top, low = rows.agg(F.sum("p"), F.sum("n"), F.max("y"), F.min("y")).first()
-    points = rows.groupBy("score").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-    cuts = value_ranges(rows, "score")
-    binary = bool(all_p) and bool(all_n) and top == 1 and low == 0
-    return running_totals(points, "score", ["p", "n"], cuts, descending=True).select(
-        "*",
-        F.lit(int(all_p or 0) if binary else None).cast("bigint").alias("all_p"),
-        F.lit(int(all_n or 0) if binary else None).cast("bigint").alias("all_n"),
+    y = ref(label)
+    rows = df.filter(y.isNotNull() & ref(score).isNotNull()).select(
+        ref(score).cast("double").alias("score"),
+        F.when(y == 1, 1).otherwise(0).alias("p"),
+        F.when(y == 0, 1).otherwise(0).alias("n"),
+        F.when(y.isin(0, 1), 0).otherwise(1).alias("other"),
+    )
+    points, total = running_totals(rows, "score", ["p", "n", "other"], descending=True)
+    binary = total["p"] and total["n"] and not total["other"]
+    return points.select(
+        "score", "p", "n", "cum_p", "cum_n",
+        F.lit(total["p"] if binary else None).cast("bigint").alias("all_p"),
+        F.lit(total["n"] if binary else None).cast("bigint").alias("all_n"),
     )
 
 

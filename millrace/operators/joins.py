@@ -140,7 +140,11 @@ def left_join(
     placeholder_keys: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Left outer join; null and placeholder keys match nothing. ``hot_rows=None`` skips the skew check."""
+    """Left outer join; null and placeholder keys match nothing.
+
+    The skew check reads the keys of both sides beforehand, so costly inputs
+    should be stored tables; ``hot_rows=None`` skips it.
+    """
     return _join(left, right, key, "left", placeholder_keys, hot_rows)
 
 
@@ -176,5 +180,8 @@ def integrate(
     pl = prefix_columns(with_key(players, names[1]), "pl_")
     pd = prefix_columns(with_key(player_data, names[2]), "pd_")
     roster = outer_join(pl, pd, placeholder_keys=placeholder_keys, hot_rows=hot_rows)
+    if hot_rows is not None:
+        # read twice: for its frequent keys and for the join
+        roster = materialize(roster, "roster")
     joined = left_join(ss, roster, placeholder_keys=placeholder_keys, hot_rows=hot_rows)
     return drop_duplicate_columns(joined)

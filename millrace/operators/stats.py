@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,39 +16,43 @@ from millrace.functions.columns import drop_if_present, numeric_columns, ref
 # Pruning and variance limits.
 CORRELATION_LIMIT = 0.85
 VARIANCE_SHARE = 0.95
+# Projections with more terms than this go through vectors.
+PROJECTION_TERMS = 1_000
 
 
 def column_stats(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """``(column, n, n_distinct, mean, stddev, min, max)`` for numeric columns, one pass.
+    """``(column, n, n_distinct, mean, stddev, min, max)`` for numeric columns.
 
-    ``approx`` counts distinct values by sketch, which needs no shuffle of values.
+    Everything but the exact distinct counts comes from one pass. Those are
+    counted column by column, each scan reading one column only; ``approx``
+    replaces them by sketches in the same pass.
     """
     cols = numeric_columns(df) if cols is None else list(cols)
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    aggs = []
+    aggs, entries = [], []
     for i, name in enumerate(cols):
         c = ref(name)
-        aggs += [
-            F.count(c).alias(f"n{i}"),
-            distinct(c).alias(f"d{i}"),
-            F.avg(c).alias(f"a{i}"),
-            F.stddev(c).alias(f"s{i}"),
-            F.min(c).cast("double").alias(f"l{i}"),
-            F.max(c).cast("double").alias(f"h{i}"),
-        ]
-    entries = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.col(f"n{i}").alias("n"),
-            F.col(f"d{i}").alias("n_distinct"),
-            F.col(f"a{i}").alias("mean"),
-            F.col(f"s{i}").alias("stddev"),
-            F.col(f"l{i}").alias("min"),
-            F.col(f"h{i}").alias("max"),
+        parts = {
+            "n": F.count(c),
+            "mean": F.avg(c),
+            "stddev": F.stddev(c),
+            "min": F.min(c).cast("double"),
+            "max": F.max(c).cast("double"),
+        }
+        if approx:
+            parts["n_distinct"] = F.approx_count_distinct(c)
+        aggs += [agg.alias(f"{k}{i}") for k, agg in parts.items()]
+        entries.append(
+            F.struct(F.lit(name).alias("column"), *[F.col(f"{k}{i}").alias(k) for k in parts])
         )
-        for i, name in enumerate(cols)
-    ]
-    return df.agg(*aggs).select(F.inline(F.array(*entries)))
+    stats = df.agg(*aggs).select(F.inline(F.array(*entries)))
+    if not approx:
+        distinct = [
+            df.select(ref(c).alias("v")).filter("v is not null").distinct()
+            .agg(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_distinct"))
+            for c in cols
+        ]
+        stats = stats.join(reduce(DataFrame.unionByName, distinct), "column")
+    return stats.select("column", "n", "n_distinct", "mean", "stddev", "min", "max")
 
 
 def group_sizes(df: DataFrame, col: str) -> DataFrame:
@@ -182,9 +188,20 @@ def pca_variance(df: DataFrame, model: PCAModel, share: float = VARIANCE_SHARE)
 def pca_project(
     df: DataFrame, cols: Sequence[str], model: PCAModel | None = None, k: int | None = None
 ) -> DataFrame:
-    """Add ``PC1..PCk``; rows are not centred. ``k`` defaults to the 95 % rule."""
+    """Add ``PC1..PCk``; rows are not centred. ``k`` defaults to the 95 % rule.
+
+    A moderate number of terms is written as plain sums, which stay in generated
+    code; wide projections go through the model's vectors.
+    """
     model = model or pca_fit(df, cols)
     k = k or pca_keep([float(r) for r in model.explainedVariance.toArray()])
+    if len(cols) * k <= PROJECTION_TERMS:
+        weights = model.pc.toArray()
+        scores = [
+            reduce(add, [ref(c).cast("double") * F.lit(float(weights[i, j])) for i, c in enumerate(cols)])
+            for j in range(k)
+        ]
+        return df.select("*", *[s.alias(f"PC{j + 1}") for j, s in enumerate(scores)])
     vectors = VectorAssembler(inputCols=list(cols), outputCol="__features", handleInvalid="keep")
     scored = model.transform(vectors.transform(df)).withColumn(
         "__array", vector_to_array(F.col("__scores"))

@@ -132,12 +132,13 @@ def test_running_totals_across_ranges(spark, descending):
     scores = rng.sample(range(10000), 500)
     rows = [(float(s), rng.randint(0, 5)) for s in scores]
     df = spark.createDataFrame(rows, "s double, n int")
-    got = D.running_totals(df, "s", ["n"], D.value_ranges(df, "s", 16), descending).collect()
+    out, totals = D.running_totals(df, "s", ["n"], descending, 16)
+    got = out.collect()
     total, want = 0, {}
     for s, n in sorted(rows, reverse=descending):
         total += n
         want[s] = total
-    assert {r["s"]: r["cum_n"] for r in got} == want
+    assert {r["s"]: r["cum_n"] for r in got} == want and totals == {"n": total}
 
 
 def test_box_summary_of_a_group_with_outliers(spark):

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from millrace.functions.columns import ref
-from millrace.operators.images import decode_images  # noqa: F401  (the one operator with Python workers)
 from millrace.plans.stages import clean_roster, prepare
 from millrace.plans.supervised import experiment
 from millrace.session import collect_small, materialize, shared_dir
@@ -100,7 +99,7 @@ def test_shared_dir_and_small_tables(spark):
 NATIVE = [
     "fill_strings", "parse_length", "fill_date", "strip_suffix", "normalize_key", "impute_mean", "zscore_filter",
     "histogram", "kde_grid", "left_join", "integrate", "minmax_scale", "string_index", "one_hot", "quantile_bins",
-    "label_above_mean", "split_two_way", "linear_score", "confusion_matrix", "roc_curve", "scale_pixels", "path_label",
+    "label_above_mean", "split_two_way", "linear_score", "roc_curve", "box_summary", "scale_pixels", "path_label",
 ]
 
 

@@ -121,9 +121,14 @@ def test_quantile_edges_collapse(spark):
 
 
 def test_nearest_centroid_first_on_ties(spark):
-    df = spark.createDataFrame([([0.0, 0.0],), ([3.0, 0.0],)], "v array<double>")
-    out = Cl.nearest_centroid(df, [[1.0, 0.0], [-1.0, 0.0], [3.0, 0.1]], "v").collect()
-    assert [r["cluster"] for r in out] == [0, 2]
+    df = spark.createDataFrame([([0.0, 0.0],), (None,), ([3.0, 0.0],)], "v array<double>").coalesce(1)
+    centers = [[1.0, 0.0], [-1.0, 0.0], [3.0, 0.5]]
+    out = Cl.nearest_centroid(df, centers, "v").collect()
+    assert [r["cluster"] for r in out] == [0, None, 2]
+    distances = df.select(Cl.centroid_distances("v", centers).alias("d")).collect()
+    assert [r["d"] for r in distances] == [[1.0, 1.0, 9.25], None, [4.0, 16.0, 0.25]]
+    nulls = spark.createDataFrame([(None,)], "v array<double>")
+    assert Cl.nearest_centroid(nulls, centers, "v").first()["cluster"] is None
 
 
 def test_kmeans_finds_separate_groups(spark):
@@ -165,15 +170,17 @@ def test_pruning_is_not_greedy(spark):
     assert St.prune_correlated(df).columns == ["a"]
 
 
-def test_pca_ratios_and_projection(spark, numbers):
+def test_pca_ratios_and_projection(spark, numbers, monkeypatch):
     model = St.pca_fit(numbers, ["a", "b"])
     rows = St.pca_variance(numbers, model).orderBy("component").collect()
     assert [r["ratio"] for r in rows] == sorted((r["ratio"] for r in rows), reverse=True)
     assert rows[-1]["cumulative"] == pytest.approx(1.0)
     assert [r["kept"] for r in rows] == [True, False]
-    out = St.pca_project(numbers, ["a", "b"], model, 2).first()
     basis = model.pc.toArray()
-    assert [out["PC1"], out["PC2"]] == pytest.approx(list(np.array([out["a"], out["b"]]) @ basis))
+    for terms in (0, 1000):
+        monkeypatch.setattr(St, "PROJECTION_TERMS", terms)
+        out = St.pca_project(numbers, ["a", "b"], model, 2).first()
+        assert [out["PC1"], out["PC2"]] == pytest.approx(list(np.array([out["a"], out["b"]]) @ basis))
     assert St.pca_keep([0.5, 0.3, 0.2], 0.95) == 3 and St.pca_keep([0.96, 0.04]) == 1
 
 
