@@ -81,11 +81,11 @@ def averaged(spark, d):
     f"""WITH {_CLASS}, n AS (SELECT count(*) AS k FROM m)
         SELECT CAST(row_number() OVER (ORDER BY c) - 1 AS INT) AS position, CAST(c AS VARCHAR) AS name,
                {rd('precision', 4)} AS precision, {rd('recall', 4)} AS recall, {rd('f1', 4)} AS f1, support FROM m
-        UNION ALL SELECT any_value(k), 'accuracy', NULL, NULL, {rd('sum(hits) / sum(support)', 4)},
+        UNION ALL SELECT CAST(any_value(k) AS INT), 'accuracy', NULL, NULL, {rd('sum(hits) / sum(support)', 4)},
                CAST(sum(support) AS BIGINT) FROM m, n
-        UNION ALL SELECT any_value(k) + 1, 'macro avg', {', '.join(rd(f'avg({x})', 4) for x in _RATES)},
+        UNION ALL SELECT CAST(any_value(k) + 1 AS INT), 'macro avg', {', '.join(rd(f'avg({x})', 4) for x in _RATES)},
                CAST(sum(support) AS BIGINT) FROM m, n
-        UNION ALL SELECT any_value(k) + 2, 'weighted avg',
+        UNION ALL SELECT CAST(any_value(k) + 2 AS INT), 'weighted avg',
                {', '.join(rd(f'sum({x} * support) / sum(support)', 4) for x in _RATES)},
                CAST(sum(support) AS BIGINT) FROM m, n""",
 )

@@ -84,7 +84,7 @@ _LINEAR = f"""WITH g AS ({DOC_FEATURES}),
 @query(
     "linear_score",
     f"""{_LINEAR} SELECT doc_id, {rd('margin')} AS margin, {rd('p')} AS probability,
-               CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM s""",
+               CAST(p > 0.5 AS DOUBLE) AS prediction FROM s""",
 )
 def linear(spark, d):
     rows = linear_score(doc_features(spark, d), _WEIGHTS, -1.5)
@@ -96,7 +96,7 @@ def linear(spark, d):
 @query(
     "predictions_export",
     f"""{_LINEAR} SELECT CAST(n_chars >= (SELECT avg(n_chars) FROM s) AS INT) AS "True_Label",
-               CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END AS "Predicted_Label", {rd('p')} AS "Probability_Class_1"
+               CAST(p > 0.5 AS DOUBLE) AS "Predicted_Label", {rd('p')} AS "Probability_Class_1"
         FROM s""",
 )
 def exported(spark, d):

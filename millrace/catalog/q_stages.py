@@ -112,7 +112,7 @@ _NUMBERS = ("o_orderkey", "o_totalprice", "o_custkey")
         SELECT o_orderkey, {', '.join(f"{rd(f'({c} - {c}_l) / ({c}_h - {c}_l)')} AS {c}_minmax, {rd(f'({c} - {c}_a) / {c}_s')} AS {c}_standard" for c in _NUMBERS)},
                coalesce(p.i, (SELECT count(*) FROM p)) AS o_orderpriority_index,
                coalesce(s.i, (SELECT count(*) FROM s)) AS o_orderstatus_index,
-               CASE WHEN p.i IS NULL THEN 0.0 ELSE 1.0 END AS priority_bits
+               CAST(p.i IS NOT NULL AS DOUBLE) AS priority_bits
         FROM g LEFT JOIN p USING (o_orderpriority) LEFT JOIN s USING (o_orderstatus), m""",
 )
 def stage_transformed(spark, d):
