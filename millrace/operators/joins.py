@@ -15,13 +15,14 @@ from millrace.functions.columns import (
     ref,
 )
 from millrace.functions.scalars import normalize_key
-from millrace.session import materialize
+from millrace.session import broadcast_small, materialize
 
 # Fixed value: the key that rows without a name end up with after cleaning.
 PLACEHOLDER_KEYS = ("unknown",)
 # A key held by more than one row in 200 is always among the 200 most frequent.
 HOT_LIST = 200
 HOT_ROWS = 2_000_000
+BROADCAST_ROWS = 10_000
 
 
 def _match_key(key: str, placeholders: Sequence[str]) -> Column:
@@ -96,13 +97,27 @@ def _join(
     if how == "outer":
         parts.append(shaped(b.filter(no_key | among(alone))))
     if shared:
-        parts.append(shaped(_grid_join(a, b, shared, n_a, n_b, hot_rows)))
+        parts.append(shaped(_hot_join(a, b, shared, n_a, n_b, hot_rows)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
+def _hot_join(
+    a: DataFrame, b: DataFrame, keys: Sequence, n_a: dict, n_b: dict, hot_rows: int
+) -> DataFrame:
+    """Inner join of hot keys: the side with few and short rows is broadcast, so that the
+    other one is not shuffled; with many rows on both sides they meet in a grid."""
+    left, right = (df.filter(F.col("__k").isin(*keys)) for df in (a, b))
+    for few, counts, many in ((right, n_b, left), (left, n_a, right)):
+        if sum(counts[k] for k in keys) <= BROADCAST_ROWS:
+            small = broadcast_small(few, BROADCAST_ROWS)
+            if small is not few:
+                return many.join(small, "__k", "inner")
+    return _grid_join(a, b, keys, n_a, n_b, hot_rows)
+
+
 def _grid_join(
     a: DataFrame, b: DataFrame, keys: Sequence, n_a: dict, n_b: dict, hot_rows: int
 ) -> DataFrame:

@@ -51,10 +51,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def collect_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row] | None:
-    """The rows when there are at most ``max_rows`` and no text in them is long, else None.
+    """The rows when there are at most ``max_rows`` and no value in them is large, else None.
 
-    Never brings more than ``max_rows + 1`` short rows to the driver.
+    Never brings more than ``max_rows + 1`` short rows to the driver. Nested
+    columns always count as large.
     """
+    if any(kind.startswith(("array", "map", "struct", "udt", "vector")) for _, kind in df.dtypes):
+        return None
     texts = [ref(c) for c, kind in df.dtypes if kind in ("string", "binary")]
     long = reduce(
         lambda a, b: a | b,

@@ -29,10 +29,12 @@ def brute(how, placeholders):
     return Counter(out)
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1, 5, 10, 21, 10**6])
+# no check; grid only; smaller side only; always broadcast; nothing hot
+@pytest.mark.parametrize("hot_rows,few", [(None, 0), (1, 0), (10, 0), (10, 13), (1, 10_000), (10**6, 0)])
 @pytest.mark.parametrize("placeholders", [(), ("unknown",)])
 @pytest.mark.parametrize("how", ["left", "outer"])
-def test_join_matches_brute_force(spark, how, placeholders, hot_rows):
+def test_join_matches_brute_force(spark, monkeypatch, how, placeholders, hot_rows, few):
+    monkeypatch.setattr(J, "BROADCAST_ROWS", few)
     left = spark.createDataFrame(LEFT, "name_norm string, v int").repartition(3)
     right = spark.createDataFrame(RIGHT, "name_norm string, w string").repartition(3)
     join = J.left_join if how == "left" else J.outer_join
@@ -49,6 +51,13 @@ def test_more_hot_keys_than_the_list_holds(spark, monkeypatch):
     assert Counter(map(tuple, got.collect())) == brute("outer", ())
 
 
+def test_nested_columns_are_not_broadcast(spark):
+    left = spark.createDataFrame(LEFT, "name_norm string, v int")
+    right = spark.createDataFrame([(k, [w]) for k, w in RIGHT], "name_norm string, w array<string>")
+    got = J.left_join(left, right, hot_rows=3).collect()
+    assert Counter((k, v, w[0] if w else None) for k, v, w in got) == brute("left", ())
+
+
 def test_integrate_drops_clashing_names_and_unnamed_matches(spark):
     seasons = spark.createDataFrame([(" Al ", 1), ("Unknown", 2), (None, 3)], "Player string, PTS int")
     players = spark.createDataFrame([("al", 10), ("unknown", 11)], "Player string, height int")
