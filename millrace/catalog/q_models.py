@@ -138,6 +138,21 @@ def tree_classes(spark, d):
     return results_table(spark, [result(model_rows(spark, d, 5), "tree", 5)])
 
 
+@query("train_forest_wide")
+def wide_forest(spark, d):
+    """64 features, the lower against the upper half of the classes."""
+    vectors = table(spark, d, "embeddings")
+    features = [f"e{i}" for i in range(64)]
+    rows = vectors.select(
+        "vec_id",
+        F.when(F.col("label") >= 5, 1).otherwise(0).alias("label"),
+        *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(features)],
+    )
+    train, test = split_rows(materialize(rows, "model-rows"), TRAIN_TEST, key="vec_id")
+    row, _ = evaluate("forest", train, test, features)
+    return results_table(spark, [row])
+
+
 @query("model_results_table")
 def results(spark, d):
     rows = model_rows(spark, d)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.q_joins import PLAYER_DATA, PLAYERS
 from millrace.catalog.q_transform import _rank_sql
-from millrace.catalog.registry import query, rd, rounded, view_query
+from millrace.catalog.registry import DOC_FEATURES, doc_features, query, rd, rounded, unit_hash_sql, view_query
 from millrace.plans.stages import (
     clean_roster,
     clean_seasons,
@@ -57,17 +57,21 @@ def roster_cleaned(spark, d):
     )
 
 
+_CLEANED = f"""
+    g AS (SELECT DISTINCT * EXCLUDE (blanl) FROM ({SEASONS})),
+    f AS (SELECT season, coalesce(Player, 'Unknown') AS Player,
+                 regexp_replace(coalesce(Pos, 'Unknown'), '-.*', '') AS Pos, Tm,
+                 coalesce(PTS, (SELECT avg(PTS) FROM g)) AS PTS,
+                 coalesce(Age, (SELECT avg(Age) FROM g)) AS Age, PER FROM g),
+    s1 AS (SELECT avg(PTS) AS m, stddev_samp(PTS) AS s FROM f),
+    r1 AS (SELECT f.* FROM f, s1 WHERE abs((PTS - m) / s) <= 3),
+    s2 AS (SELECT avg(Age) AS m, stddev_samp(Age) AS s FROM r1),
+    r2 AS (SELECT r1.* FROM r1, s2 WHERE abs((Age - m) / s) <= 3)"""
+
+
 @query(
     "stage_clean_seasons",
-    f"""WITH g AS (SELECT DISTINCT * EXCLUDE (blanl) FROM ({SEASONS})),
-             f AS (SELECT season, coalesce(Player, 'Unknown') AS Player,
-                          regexp_replace(coalesce(Pos, 'Unknown'), '-.*', '') AS Pos, Tm,
-                          coalesce(PTS, (SELECT avg(PTS) FROM g)) AS PTS,
-                          coalesce(Age, (SELECT avg(Age) FROM g)) AS Age, PER FROM g),
-             s1 AS (SELECT avg(PTS) AS m, stddev_samp(PTS) AS s FROM f),
-             r1 AS (SELECT f.* FROM f, s1 WHERE abs((PTS - m) / s) <= 3),
-             s2 AS (SELECT avg(Age) AS m, stddev_samp(Age) AS s FROM r1),
-             r2 AS (SELECT r1.* FROM r1, s2 WHERE abs((Age - m) / s) <= 3)
+    f"""WITH {_CLEANED}
         SELECT {rd('season')} AS season, Player, Pos, Tm, {rd('PTS', 4)} AS "PTS", {rd('Age')} AS "Age",
                {rd('PER')} AS "PER" FROM r2""",
 )
@@ -86,9 +90,24 @@ def integrated(spark, d):
     return integrate_stage(seasons, players, data)
 
 
-@query("stage_integrate")
+# Both rosters carry the same ids, so the second id column is redundant and goes.
+@query(
+    "stage_integrate",
+    f"""WITH {_CLEANED},
+             pl AS (SELECT DISTINCT lower(Player) AS k, Player, id, balance FROM ({PLAYERS})),
+             pd AS (SELECT DISTINCT lower(coalesce(name, 'Unknown')) AS k, coalesce(name, 'Unknown') AS name, id, segment
+                    FROM ({PLAYER_DATA})),
+             roster AS (SELECT coalesce(pl.k, pd.k) AS k, pl.Player AS pl_Player, pl.id AS pl_id,
+                               pl.balance AS pl_balance, pd.name AS pd_name, pd.segment AS pd_segment
+                        FROM pl FULL JOIN pd ON nullif(pl.k, 'unknown') = nullif(pd.k, 'unknown'))
+        SELECT lower(Player) AS name_norm, {rd('season')} AS "ss_season", Player AS "ss_Player", Pos AS "ss_Pos",
+               Tm AS "ss_Tm", {rd('PTS', 4)} AS "ss_PTS", {rd('Age')} AS "ss_Age", {rd('PER')} AS "ss_PER",
+               pl_Player AS "pl_Player", pl_id, pl_balance, pd_name, pd_segment
+        FROM r2 LEFT JOIN roster ON nullif(lower(Player), 'unknown') = nullif(roster.k, 'unknown')""",
+)
 def stage_integrated(spark, d):
-    return integrated(spark, d)
+    digits = {"ss_season": 6, "ss_PTS": 4, "ss_Age": 6, "ss_PER": 6}
+    return integrated(spark, d).withColumns({c: rounded(c, n) for c, n in digits.items()})
 
 
 @query("stage_reduce")
@@ -145,3 +164,16 @@ def chain(spark, d):
 @query("experiment_logistic")
 def experiment_report(spark, d):
     return chain(spark, d)
+
+
+# Whatever the model, the supports of its report follow from the label and the split.
+@query(
+    "experiment_support",
+    f"""WITH g AS ({DOC_FEATURES})
+        SELECT CASE WHEN n_chars >= (SELECT avg(n_chars) FROM g) THEN 'long' ELSE 'short' END AS name,
+               count(*) AS support
+        FROM g WHERE {unit_hash_sql('doc_id')} >= 0.8 GROUP BY 1""",
+)
+def experiment_support(spark, d):
+    out = experiment(doc_features(spark, d), "tree", target="n_chars", key="doc_id", classes=["short", "long"])
+    return out.report.filter("position < 2").select("name", "support")

@@ -170,6 +170,29 @@ def projected(spark, d):
     return pca_project(rows.select("l_orderkey", *cols), cols, k=2)
 
 
+_PCA_COLS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+# Projecting on all components turns the rows without stretching them and leaves no correlation.
+@query(
+    "pca_invariants",
+    f"""SELECT {rd(' + '.join(f'avg({c} * {c})' for c in _PCA_COLS), 2)} AS energy,
+               {rd(' + '.join(f'var_samp({c})' for c in _PCA_COLS), 2)} AS variance,
+               CAST(0.0 AS DOUBLE) AS left_over FROM lineitem""",
+)
+def invariants(spark, d):
+    rows = table(spark, d, "lineitem").select(*_PCA_COLS)
+    scores = pca_project(rows, _PCA_COLS, k=len(_PCA_COLS)).select(
+        *[f"PC{i + 1}" for i in range(len(_PCA_COLS))]
+    )
+    left_over = correlation_matrix(scores).agg(F.max("corr")).scalar()
+    energy = sum((F.avg(F.col(c) * F.col(c)) for c in scores.columns), F.lit(0.0))
+    variance = sum((F.var_samp(c) for c in scores.columns), F.lit(0.0))
+    return scores.agg(rounded(energy, 2).alias("energy"), rounded(variance, 2).alias("variance")).withColumn(
+        "left_over", rounded(left_over, 6)
+    )
+
+
 # For two columns the eigenvalues have a closed form, and |PC1| follows from the angle.
 @query(
     "pca_two_columns",

@@ -13,6 +13,8 @@ from millrace.operators.distribution import running_totals
 # Fixed value: class probabilities are kept this far from 0 and 1.
 PROBABILITY_FLOOR = 1e-7
 
+RESULT_FIELDS = ("accuracy", "precision", "recall", "f1", "auroc", "aupr", "train_seconds", "predict_seconds")
+
 
 def _counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.groupBy(
@@ -203,29 +205,38 @@ def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataF
     return points.unionByName(end)
 
 
-def auroc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Area under the ROC curve; null unless the labels are 0 and 1."""
-    below = F.col("all_n") - F.col("cum_n") + F.col("n") / 2
+def areas(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """One row ``(auroc, aupr, average_precision)``; null unless the labels are 0 and 1.
+
+    ``auroc`` counts ties half, ``aupr`` sums trapezoids and starts level with
+    the first point, ``average_precision`` weights precision by recall gained.
+    """
+    p, n, cum_p, cum_n = (F.col(c) for c in ("p", "n", "cum_p", "cum_n"))
+    all_p, all_n = F.max("all_p"), F.max("all_n")
+    below = F.col("all_n") - cum_n + n / 2
+    here = cum_p / (cum_p + cum_n)
+    past_p, past_n = cum_p - p, cum_n - n
+    past = F.when(past_p + past_n > 0, past_p / (past_p + past_n)).otherwise(here)
     return _by_score(df, label, score).agg(
-        (F.sum(F.col("p") * below) / (F.max("all_p").cast("double") * F.max("all_n"))).alias("auroc")
+        (F.sum(p * below) / (all_p.cast("double") * all_n)).alias("auroc"),
+        (F.sum(p * (here + past) / 2) / all_p).alias("aupr"),
+        (F.sum(p * here) / all_p).alias("average_precision"),
     )
 
 
+def auroc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Area under the ROC curve; null unless the labels are 0 and 1."""
+    return areas(df, label, score).select("auroc")
+
+
 def aupr(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Area under the precision-recall curve by trapezoids, starting level with the first point."""
-    here = F.col("cum_p") / (F.col("cum_p") + F.col("cum_n"))
-    past_p, past_n = F.col("cum_p") - F.col("p"), F.col("cum_n") - F.col("n")
-    past = F.when(past_p + past_n > 0, past_p / (past_p + past_n)).otherwise(here)
-    area = F.sum(F.col("p") * (here + past) / 2)
-    return _by_score(df, label, score).agg((area / F.max("all_p")).alias("aupr"))
+    """Area under the precision-recall curve by trapezoids."""
+    return areas(df, label, score).select("aupr")
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Precision weighted by the recall gained at every score."""
-    here = F.col("cum_p") / (F.col("cum_p") + F.col("cum_n"))
-    return _by_score(df, label, score).agg(
-        (F.sum(F.col("p") * here) / F.max("all_p")).alias("average_precision")
-    )
+    return areas(df, label, score).select("average_precision")
 
 
 def log_loss(df: DataFrame, label: str = "label", scores: str = "probability") -> DataFrame:
@@ -237,8 +248,7 @@ def log_loss(df: DataFrame, label: str = "label", scores: str = "probability") -
 
 def results_table(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     """One row per model: name, metrics, seconds. Missing metrics are null."""
-    fields = ["accuracy", "precision", "recall", "f1", "auc", "train_seconds", "predict_seconds"]
     data = [
-        (r["model"], *[None if r.get(f) is None else float(r[f]) for f in fields]) for r in rows
+        (r["model"], *[None if r.get(f) is None else float(r[f]) for f in RESULT_FIELDS]) for r in rows
     ]
-    return spark.createDataFrame(data, "model string, " + ", ".join(f"{f} double" for f in fields))
+    return spark.createDataFrame(data, "model string, " + ", ".join(f"{f} double" for f in RESULT_FIELDS))

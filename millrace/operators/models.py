@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
-from millrace.operators.evaluation import auroc, weighted_metrics
+from millrace.operators.evaluation import areas, weighted_metrics
 
 # The settings each classifier is trained with.
 SETTINGS = {
@@ -118,11 +118,11 @@ def evaluate(
     try:
         quality = weighted_metrics(narrow).first().asDict()
         measured = perf_counter()
-        auc = auroc(narrow).first()[0] if classes == 2 else None
+        curve = areas(narrow).select("auroc", "aupr").first().asDict() if classes == 2 else {}
     finally:
         narrow.unpersist()
     seconds = {"train_seconds": trained - begin, "predict_seconds": measured - trained}
-    return {"model": kind, **quality, "auc": auc, **seconds}, scored
+    return {"model": kind, **quality, **curve, **seconds}, scored
 
 
 def linear_score(

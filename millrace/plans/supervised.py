@@ -15,13 +15,14 @@ from millrace.operators.evaluation import (
     classification_report,
     confusion_matrix,
     pr_curve,
+    report_text,
     results_table,
     roc_curve,
 )
 from millrace.operators.labeling import TRAIN_TEST, label_above_mean, label_from_bin, split_rows
 from millrace.operators.models import SPLIT_SEEDS, evaluate, export_predictions, positive_score
 from millrace.session import materialize
-from millrace.sources.tables import write_table
+from millrace.sources.tables import write_table, write_text
 
 # Where the target is looked for, in this order.
 TARGETS = ("ss_PER_quantile", "ss_PER", "PER")
@@ -41,10 +42,12 @@ class Experiment:
     predictions: DataFrame
 
     def write(self, path: str, fmt: str = "csv") -> None:
-        """Write every table to a folder of its own."""
+        """Write every table to a folder of its own, and the report as text too."""
+        root = path.rstrip("/")
         for name, df in vars(self).items():
             if df is not None:
-                write_table(df, f"{path.rstrip('/')}/{name}", fmt)
+                write_table(df, f"{root}/{name}", fmt)
+        write_text(self.report.sparkSession, report_text(self.report), f"{root}/report_text")
 
 
 def experiment(

@@ -48,6 +48,12 @@ def write_table(
     writer.save(path)
 
 
+def write_text(spark: SparkSession, text: str, path: str, mode: str = "overwrite") -> None:
+    """Write a short report as one text file below ``path``."""
+    lines = spark.createDataFrame([(text.rstrip("\n"),)], "value string")
+    lines.coalesce(1).write.mode(mode).text(path)
+
+
 def _plain(field: T.StructField):
     if field.dataType.typeName() == "vectorudt" or "VectorUDT" in type(field.dataType).__name__:
         return vector_to_array(ref(field.name)).alias(field.name)

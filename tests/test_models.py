@@ -150,7 +150,7 @@ def separable(spark):
 def test_classifiers_learn(separable, kind, floor, settings):
     out = experiment(separable, kind, key="id", **settings)
     row = out.results.first()
-    assert row["accuracy"] > floor and row["auc"] > floor
+    assert row["accuracy"] > floor and row["auroc"] > floor
     assert row["train_seconds"] > 0 and row["predict_seconds"] > 0
     assert sum(r["n"] for r in out.confusion.collect()) == out.predictions.count()
     assert out.predictions.columns == ["True_Label", "Predicted_Label", "Probability_Class_1"]
@@ -173,11 +173,13 @@ def test_five_classes_have_no_area(spark, separable, tmp_path):
     binned = quantile_bins(separable.drop("PER_minmax"), ["PER"])
     out = experiment(binned, "tree", targets=("PER_quantile",), key="id", fit_on="all")
     row = out.results.first()
-    assert row["auc"] is None and out.roc is None and row["accuracy"] > 0.5
+    assert row["auroc"] is None and out.roc is None and row["accuracy"] > 0.5
     assert out.report.count() == 8
     out.write(str(tmp_path / "out"))
     back = spark.read.csv(str(tmp_path / "out" / "report"), header=True)
     assert back.count() == 8
+    lines = [r[0] for r in spark.read.text(str(tmp_path / "out" / "report_text")).collect()]
+    assert len(lines) == 11 and "f1-score" in lines[0] and "weighted avg" in lines[-1]
 
 
 def test_linear_score_equals_the_fitted_model(separable):
