@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.registry import query, table, view_query
+from millrace.catalog.registry import query, view_query
 from millrace.functions.columns import prefix_columns
 from millrace.functions.scalars import normalize_key
 from millrace.operators.joins import integrate, left_join, outer_join, with_key

@@ -117,7 +117,7 @@ def model_rows(spark, d, classes=2):
 def result(rows, kind, classes=2):
     features = [c for c in select_features(rows, "n_chars") if c not in ("doc_id", "label")]
     train, test = split_rows(rows, TRAIN_TEST, key="doc_id", seed=SPLIT_SEEDS[kind])
-    row, _ = evaluate(kind, train, test, features, classes=classes)
+    row, _, _ = evaluate(kind, train, test, features, classes=classes)
     return row
 
 
@@ -149,7 +149,7 @@ def wide_forest(spark, d):
         *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(features)],
     )
     train, test = split_rows(materialize(rows, "model-rows"), TRAIN_TEST, key="vec_id")
-    row, _ = evaluate("forest", train, test, features)
+    row, _, _ = evaluate("forest", train, test, features)
     return results_table(spark, [row])
 
 

@@ -161,9 +161,10 @@ def report_text(report: DataFrame, digits: int = 4) -> str:
     return "\n".join(lines) + "\n"
 
 
-def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row per score, highest first: positives ``p``, negatives ``n``, their running
-    totals ``cum_p``, ``cum_n`` and the overall totals ``all_p``, ``all_n``."""
+def score_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """One row per score: positives ``p``, negatives ``n``, their running totals ``cum_p``,
+    ``cum_n`` from the highest score down, and the overall totals ``all_p``, ``all_n``,
+    which are null unless the labels are 0 and 1."""
     y = ref(label)
     rows = df.filter(y.isNotNull() & ref(score).isNotNull()).select(
         ref(score).cast("double").alias("score"),
@@ -180,33 +181,33 @@ def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """``(threshold, fpr, tpr)`` for every distinct score, and the origin with null threshold."""
-    points = _by_score(df, label, score).select(
+def roc_from(points: DataFrame) -> DataFrame:
+    """``(threshold, fpr, tpr)`` of score points, and the origin with null threshold."""
+    origin = points.sparkSession.createDataFrame(
+        [(None, 0.0, 0.0)], "threshold double, fpr double, tpr double"
+    )
+    return points.select(
         F.col("score").alias("threshold"),
         (F.col("cum_n") / F.col("all_n")).alias("fpr"),
         (F.col("cum_p") / F.col("all_p")).alias("tpr"),
-    )
-    origin = df.sparkSession.createDataFrame([(None, 0.0, 0.0)], "threshold double, fpr double, tpr double")
-    return points.unionByName(origin)
+    ).unionByName(origin)
 
 
-def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """``(threshold, precision, recall)`` for every distinct score, and the end point
-    (precision 1, recall 0) with null threshold."""
-    points = _by_score(df, label, score).select(
-        F.col("score").alias("threshold"),
-        (F.col("cum_p") / (F.col("cum_p") + F.col("cum_n"))).alias("precision"),
-        (F.col("cum_p") / F.col("all_p")).alias("recall"),
-    )
-    end = df.sparkSession.createDataFrame(
+def pr_from(points: DataFrame) -> DataFrame:
+    """``(threshold, precision, recall)`` of score points, and the end point (precision 1,
+    recall 0) with null threshold."""
+    end = points.sparkSession.createDataFrame(
         [(None, 1.0, 0.0)], "threshold double, precision double, recall double"
     )
-    return points.unionByName(end)
+    return points.select(
+        F.col("score").alias("threshold"),
+        F.try_divide(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")).alias("precision"),
+        (F.col("cum_p") / F.col("all_p")).alias("recall"),
+    ).unionByName(end)
 
 
-def areas(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row ``(auroc, aupr, average_precision)``; null unless the labels are 0 and 1.
+def areas_from(points: DataFrame) -> DataFrame:
+    """One row ``(auroc, aupr, average_precision)`` of score points.
 
     ``auroc`` counts ties half, ``aupr`` sums trapezoids and starts level with
     the first point, ``average_precision`` weights precision by recall gained.
@@ -214,16 +215,30 @@ def areas(df: DataFrame, label: str = "label", score: str = "score") -> DataFram
     p, n, cum_p, cum_n = (F.col(c) for c in ("p", "n", "cum_p", "cum_n"))
     all_p, all_n = F.max("all_p"), F.max("all_n")
     below = F.col("all_n") - cum_n + n / 2
-    here = cum_p / (cum_p + cum_n)
-    past_p, past_n = cum_p - p, cum_n - n
-    past = F.when(past_p + past_n > 0, past_p / (past_p + past_n)).otherwise(here)
-    return _by_score(df, label, score).agg(
+    here = F.try_divide(cum_p, cum_p + cum_n)
+    past = F.coalesce(F.try_divide(cum_p - p, cum_p - p + cum_n - n), here)
+    return points.agg(
         (F.sum(p * below) / (all_p.cast("double") * all_n)).alias("auroc"),
         (F.sum(p * (here + past) / 2) / all_p).alias("aupr"),
         (F.sum(p * here) / all_p).alias("average_precision"),
     )
 
 
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """ROC points for every distinct score."""
+    return roc_from(score_points(df, label, score))
+
+
+def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Precision-recall points for every distinct score."""
+    return pr_from(score_points(df, label, score))
+
+
+def areas(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """One row ``(auroc, aupr, average_precision)``."""
+    return areas_from(score_points(df, label, score))
+
+
 def auroc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Area under the ROC curve; null unless the labels are 0 and 1."""
     return areas(df, label, score).select("auroc")

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 from time import perf_counter
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
-from millrace.operators.evaluation import areas, weighted_metrics
+from millrace.operators.evaluation import areas_from, score_points, weighted_metrics
+from millrace.session import materialize
 
 # The settings each classifier is trained with.
 SETTINGS = {
@@ -33,6 +34,9 @@ SETTINGS = {
 HIDDEN_LAYERS = (20, 10)
 SPLIT_SEEDS = {"logistic": 42, "mlp": 42, "svm": 45, "tree": 42, "forest": 42}
 
+# Feature values (times trees) that one part of a training table should hold.
+WORK_PER_PART = 200_000
+
 _CLASSIFIERS = {
     "logistic": LogisticRegression,
     "mlp": MultilayerPerceptronClassifier,
@@ -97,6 +101,19 @@ def positive_score(scored: DataFrame) -> Column:
     return F.get(vector_to_array(F.col(name)), F.lit(1))
 
 
+def balanced(rows: DataFrame, kind: str, width: int, trees: int = 1) -> DataFrame:
+    """Training rows in as many parts as their work is worth.
+
+    Iterative fits pay a fixed price per part and pass, forests gain from every
+    core. Never more parts than the table has or the cluster runs at a time.
+    """
+    current = rows.rdd.getNumPartitions()
+    most = max(current, rows.sparkSession.sparkContext.defaultParallelism)
+    work = rows.count() * max(width, 1) * (trees if kind == "forest" else 1)
+    parts = min(max(ceil(work / WORK_PER_PART), 1), most)
+    return rows.coalesce(parts) if parts <= current else rows.repartition(parts)
+
+
 def evaluate(
     kind: str,
     train_rows: DataFrame,
@@ -105,24 +122,38 @@ def evaluate(
     label: str = "label",
     classes: int = 2,
     **settings,
-) -> tuple[dict, DataFrame]:
-    """Train, score and measure one classifier; returns the result row and the scored rows."""
+) -> tuple[dict, DataFrame, DataFrame | None]:
+    """Train, score and measure one classifier.
+
+    Returns the result row, the stored test rows ``(label, prediction,
+    probability, score)`` and, for two classes, their score points. The training
+    rows are read several times, so they should come from a stored table.
+    """
     begin = perf_counter()
-    model = train(kind, train_rows, features, label, classes=classes, **settings)
+    trees = {**SETTINGS[kind], **settings}.get("numTrees", 1)
+    parts = balanced(train_rows.select(*[ref(c) for c in [*features, label]]), kind, len(features), trees)
+    model = train(kind, parts, features, label, classes=classes, **settings)
     trained = perf_counter()
     scored = predict(model, test_rows)
-    # three numbers per test row, read by all measures below
-    narrow = scored.select(
-        ref(label).alias("label"), "prediction", positive_score(scored).alias("score")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        quality = weighted_metrics(narrow).first().asDict()
-        measured = perf_counter()
-        curve = areas(narrow).select("auroc", "aupr").first().asDict() if classes == 2 else {}
-    finally:
-        narrow.unpersist()
-    seconds = {"train_seconds": trained - begin, "predict_seconds": measured - trained}
-    return {"model": kind, **quality, **curve, **seconds}, scored
+    probability = F.lit(None).cast("array<double>")
+    if "probability" in scored.columns:
+        probability = vector_to_array(F.col("probability"))
+    tested = materialize(
+        scored.select(
+            ref(label).alias("label"),
+            "prediction",
+            probability.alias("probability"),
+            positive_score(scored).alias("score"),
+        ),
+        "scored-rows",
+    )
+    predicted = perf_counter()
+    row = {"model": kind, "train_seconds": trained - begin, "predict_seconds": predicted - trained}
+    row |= weighted_metrics(tested).first().asDict()
+    points = score_points(tested) if classes == 2 else None
+    if points is not None:
+        row |= areas_from(points).first().asDict()
+    return row, tested, points
 
 
 def linear_score(

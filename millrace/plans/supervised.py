@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,13 +13,13 @@ from millrace.operators.evaluation import (
     averaged_metrics,
     classification_report,
     confusion_matrix,
-    pr_curve,
+    pr_from,
     report_text,
     results_table,
-    roc_curve,
+    roc_from,
 )
 from millrace.operators.labeling import TRAIN_TEST, label_above_mean, label_from_bin, split_rows
-from millrace.operators.models import SPLIT_SEEDS, evaluate, export_predictions, positive_score
+from millrace.operators.models import SPLIT_SEEDS, evaluate, export_predictions
 from millrace.session import materialize
 from millrace.sources.tables import write_table, write_text
 
@@ -87,7 +86,7 @@ def experiment(
     rows = materialize(labelled.select(*[ref(c) for c in kept], "label"), "model-rows")
     n_classes = int(rows.agg(F.max("label")).first()[0]) + 1 if binned else 2
     train_rows, test_rows = split_rows(rows, TRAIN_TEST, key=key, seed=SPLIT_SEEDS[kind])
-    row, scored = evaluate(
+    row, tested, points = evaluate(
         kind,
         train_rows,
         test_rows,
@@ -96,25 +95,12 @@ def experiment(
         scale_rows=rows if fit_on == "all" else None,
         **settings,
     )
-    probability = (
-        vector_to_array(F.col("probability"))
-        if "probability" in scored.columns
-        else F.lit(None).cast("array<double>")
-    )
-    # written once: four tables are computed from it
-    tested = materialize(
-        scored.select(
-            "label", "prediction", probability.alias("probability"), positive_score(scored).alias("score")
-        ),
-        "scored-rows",
-    )
-    two = n_classes == 2
     return Experiment(
         results=results_table(df.sparkSession, [row]),
         confusion=confusion_matrix(tested),
         averages=averaged_metrics(tested),
         report=classification_report(tested, classes),
-        roc=roc_curve(tested) if two else None,
-        pr=pr_curve(tested) if two else None,
+        roc=None if points is None else roc_from(points),
+        pr=None if points is None else pr_from(points),
         predictions=export_predictions(tested),
     )

@@ -200,3 +200,13 @@ def test_linear_score_equals_the_fitted_model(separable):
 def test_tie_gives_class_zero(spark):
     df = spark.createDataFrame([(0.0,), (1e-9,)], "x double")
     assert [r["prediction"] for r in M.linear_score(df, {"x": 1.0}, 0.0).collect()] == [0.0, 1.0]
+
+
+def test_training_parts_follow_the_work(spark):
+    rows = spark.range(0, 40000, 1, 3).withColumn("a", F.col("id") * 1.0)
+    most = max(3, spark.sparkContext.defaultParallelism)
+    assert M.balanced(rows, "svm", 1).rdd.getNumPartitions() == 1
+    assert M.balanced(rows, "svm", 10).rdd.getNumPartitions() == 2
+    assert M.balanced(rows, "svm", 10_000).rdd.getNumPartitions() == most
+    assert M.balanced(rows, "forest", 1, 200).rdd.getNumPartitions() == most
+    assert M.balanced(rows, "forest", 1, 200).count() == 40000
