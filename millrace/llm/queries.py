@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import table
-from millrace.llm import bpe, decontaminate, exact_dedup, simhash
+from millrace.llm import bpe, decontaminate, exact_dedup, quality_rules, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,8 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     found = simhash.near_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query("op9_quality_rules")
+def op9(spark, sf_dir):
+    return quality_rules.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
