@@ -49,13 +49,14 @@ def map_texts(
     make: Callable[[], Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch | None]],
     schema,
     text: str = "text",
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """Apply ``make()``, called once a task, to slices of rows and their texts."""
 
     def run(batches):
         work = make()
         for batch in batches:
-            for part, raw in slices(batch, text):
+            for part, raw in slices(batch, text, limit):
                 out = work(part, raw)
                 if out is not None:
                     yield out

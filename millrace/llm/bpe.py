@@ -6,7 +6,8 @@ import base64
 import hashlib
 import heapq
 from collections import defaultdict
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +19,9 @@ from millrace.functions.columns import ref
 from millrace.llm.batches import fresh, map_texts
 
 #: Text bytes whose words are merged together.
-REPLAY_BYTES = 8 << 20
-#: Words kept from earlier slices, and the longest one that is.
-CACHE_WORDS, CACHE_LENGTH = 400_000, 64
+REPLAY_BYTES = 32 << 20
+#: Words, and their bytes, that are kept from slice to slice; beyond, all are forgotten.
+KNOWN_WORDS, KNOWN_BYTES = 800_000, 16 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -63,14 +64,33 @@ class MergeReplay:
 
     def one(self, word: bytes) -> list[int]:
         """The lowest rank first, leftmost on a tie, one merge at a time."""
-        parts = [bytes([b]) for b in word]
-        while len(parts) > 1:
-            found = [(self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-            rank, i = min(found)
-            if rank == 1 << 60:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+        ranks, n = self.ranks, len(word)
+        parts: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+        after, before = [*range(1, n), n], [-1, *range(n - 1)]
+        heap: list[tuple[int, int]] = []
+
+        def look(i: int) -> None:
+            j = after[i] if i >= 0 else n
+            if j < n:
+                rank = ranks.get(parts[i] + parts[j])
+                if rank is not None:
+                    heapq.heappush(heap, (rank, i))
+
+        for i in range(n):
+            look(i)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            if parts[i] is None or after[i] == n or ranks.get(parts[i] + parts[after[i]]) != rank:
+                continue
+            j = after[i]
+            parts[i] += parts[j]
+            parts[j] = None
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            look(before[i])
+            look(i)
+        return [ranks[p] for p in parts if p is not None]
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         if not words:
@@ -78,8 +98,8 @@ class MergeReplay:
         sizes = np.array([len(w) for w in words], np.int64)
         ends = np.cumsum(sizes)
         n = int(ends[-1])
-        token = self.single[np.frombuffer(b"".join(words), np.uint8)].astype(np.int64)
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        token = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         filled = sizes > 0
         after[ends[filled] - 1] = -1
         before[(ends - sizes)[filled]] = -1
@@ -97,7 +117,7 @@ class MergeReplay:
                     heapq.heappush(heap, r)
                 index[r].append(at)
 
-        first = np.flatnonzero(after >= 0)
+        first = np.flatnonzero(after >= 0).astype(np.int32)
         note(first, self._rank(token[first], token[first + 1]))
         odd: list[np.ndarray] = []
         while heap:
@@ -140,35 +160,50 @@ class MergeReplay:
 
 
 class Encoder:
-    """Texts to ids, with the words of recent slices remembered."""
+    """Texts to ids. Texts are first written as numbers of distinct words; the words that are
+    new are merged together, and the ids of a text are gathered from those of its words."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.replay = MergeReplay(ranks)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        pieces = [self.split.findall(t) for t in texts]
-        known, passing = self.known, {}
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = set(chain.from_iterable(pieces)) - known.keys()
-        todo = []
-        for piece in new:
-            raw = piece.encode()
-            whole = self.ranks.get(raw)
-            if whole is None:
-                todo.append((piece, raw))
-            else:
-                known[piece] = (whole,)
-        for (piece, raw), ids in zip(todo, self.replay.encode([raw for _, raw in todo])):
-            known[piece] = tuple(ids)
-            if len(raw) > CACHE_LENGTH:
-                passing[piece] = None
-        out = [list(chain.from_iterable(map(known.__getitem__, p))) for p in pieces]
-        for piece in passing:
-            del known[piece]
-        return out
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict(count().__next__)
+        self.ids = np.zeros(0, np.int32)
+        self.starts = np.zeros(1, np.int64)
+        self.bytes = 0
+
+    def _learn(self, first: int) -> None:
+        """Ids of the words from number ``first`` on."""
+        raw = [w.encode() for w in islice(self.number, first, None)]
+        if not raw:
+            return
+        self.bytes += sum(map(len, raw))
+        whole = list(map(self.ranks.get, raw))
+        merged = iter(self.replay.encode([w for w, i in zip(raw, whole) if i is None]))
+        found = [next(merged) if i is None else (i,) for i in whole]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        self.ids = np.concatenate([self.ids, flat])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order."""
+        if len(self.number) > KNOWN_WORDS or self.bytes > KNOWN_BYTES:
+            self._forget()
+        first, number = len(self.number), self.number
+        coded = []
+        for t in texts:
+            words = self.split.findall(t)
+            coded.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+        self._learn(first)
+        for codes in coded:
+            begin = self.starts[codes]
+            sizes = self.starts[codes + 1] - begin
+            ends = np.cumsum(sizes)
+            shift = np.repeat(begin - (ends - sizes), sizes)
+            yield self.ids[shift + np.arange(len(shift))]
 
 
 def encode(
@@ -189,7 +224,7 @@ def encode(
         encoder = Encoder(ranks, pattern)
 
         def work(part, raw):
-            rows = encoder.encode([t.decode("utf-8", "replace") for t in raw])
+            rows = list(encoder.encode(t.decode("utf-8", "replace") for t in raw))
             return pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(rows, pa.list_(pa.int32()))], [*part.schema.names, out]
             )
@@ -197,7 +232,7 @@ def encode(
         return work
 
     schema = docs.select("*", F.expr("cast(null as array<int>)").alias(out)).schema
-    return map_texts(docs, make, schema, text)
+    return map_texts(docs, make, schema, text, REPLAY_BYTES)
 
 
 def token_digests(
@@ -215,7 +250,8 @@ def token_digests(
 
         def work(part, raw):
             n, a, b = [], [], []
-            for ids in encoder.encode([t.decode("utf-8", "replace") for t in raw]):
+            for found in encoder.encode(t.decode("utf-8", "replace") for t in raw):
+                ids = found.tolist()
                 n.append(len(ids))
                 a.append(hashlib.sha256(" ".join(map(digits_of.__getitem__, ids)).encode()).hexdigest())
                 b.append(hashlib.sha256(b"".join(map(bytes_of.__getitem__, ids))).hexdigest())
@@ -230,7 +266,7 @@ def token_digests(
         ref(key), F.lit(0).cast("bigint").alias("n_tokens"), F.lit("").alias("ids_sha256"),
         F.lit("").alias("decoded_sha256"),
     ).schema
-    return map_texts(rows, make, schema, rows.columns[1])
+    return map_texts(rows, make, schema, rows.columns[1], REPLAY_BYTES)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import table
-from millrace.llm import bpe, decontaminate, exact_dedup, quality_rules, simhash
+from millrace.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    license_scan,
+    pii,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    warc,
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +99,44 @@ def op10(spark, sf_dir):
 @query("op9_quality_rules")
 def op9(spark, sf_dir):
     return quality_rules.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_suffix_dedup")
+def op7(spark, sf_dir):
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"), keep=False)
+
+
+@query("op1_license_scan")
+def op1(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op2_pii")
+def op2(spark, sf_dir):
+    found = pii.spans(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS[:4]],
+        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+        pii.span_text(pii.all_spans(F.col("base"), F.col("added"))).alias("spans"),
+    )
+
+
+@query(
+    "op4_warc",
+    """
+    WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n
+               FROM pages),
+         t AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS last FROM p)
+    SELECT page_id, n AS payload_bytes, d AS payload_digest,
+           CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+    FROM t""",
+)
+def op4(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op6_html_text")
+def op6(spark, sf_dir):
+    return html_text.extracted(table(spark, sf_dir, "pages"))
