@@ -5,13 +5,18 @@ that depth only. Positions whose remainder by ``PERIOD`` lies in a difference co
 sampled; the tuples of ``TUPLE`` bytes there are named by fingerprints, the names are sorted
 and compared with their neighbours. Two equal prefixes share an equal sampled tuple at the
 same distance from their starts, as for any two positions the cover holds a shift that takes
-both into the sample. A suffix none of whose sampled tuples has an equal is thus done; the
-remaining suffixes are named at full depth, sorted and compared with their neighbours again.
+both into the sample. A suffix none of whose sampled tuples has an equal is thus done.
+
+The names of a place, of the place one period on and of that two periods on make a triple,
+which is named, sorted and compared in turn. Triples overlap and are longer than the depth
+by a period, so all prefixes that start in a repeated triple are repeated. What remains are
+the ends of long repeats and short repeats: their suffixes are named at full depth, sorted
+and compared again, with those of one copy of each repeated triple to meet.
 
 Names are spread over buckets by their leading bits. A slice of texts sends a bucket each of
-its names once, in sorted order, and gets back one bit for each: whether another slice has
-it too. So a passage that a third of all texts share costs a bucket one name per slice, and
-no position is ever sent.
+its names once, in sorted order, and gets back two bits for each: whether another slice has
+it too, and whether this slice stands for it. So a passage that a third of all texts share
+costs a bucket one name per slice, and no position is ever sent.
 """
 
 from __future__ import annotations
@@ -71,16 +76,26 @@ class Names:
         self.down = _powers(pow(x, -1, 1 << 64), size)
         self.value = np.random.default_rng(kind + 1).integers(1, 1 << 63, 256, dtype=np.uint64)
 
-    def of(self, raw: np.ndarray, length: int) -> np.ndarray:
-        """The name of each start in ``raw``, which holds at most ``STEP`` starts."""
-        n = len(raw) - length + 1
+    def of(self, raw: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+        """The names of the strings at the places ``at``, all below ``STEP``."""
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(self.value[raw] * self.up[: len(raw)], out=sums[1:])
-        h = (sums[length:] - sums[:n]) * self.down[:n]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(29)
-        return h
+        return _mixed((sums[at + length] - sums[at]) * self.down[at])
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def _tripled(names: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The name of each triple of names, a period apart, that starts at number ``k``."""
+    h = names[k].copy()
+    for j in (1, 2):
+        h = _mixed(h * np.uint64(0x9FB21C651E98DF25) + names[k + j * len(COVER)])
+    return h
 
 
 def _sample(n: int, cover: tuple[int, ...], period: int) -> np.ndarray:
@@ -116,18 +131,40 @@ class Slice:
             first = int(at[lo])
             hi = int(np.searchsorted(at, first + STEP))
             chunk = self.raw[first : int(at[hi - 1]) + length]
-            out[lo:hi] = kind.of(chunk, length)[at[lo:hi] - first]
+            out[lo:hi] = kind.of(chunk, at[lo:hi] - first, length)
             lo = hi
         return out
 
+    def _text_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, at, side="right") - 1
+
+    def triples(self, at: np.ndarray, again: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the sampled places where a triple of repeated names starts, and the
+        names of these triples, of 64 and 32 bits."""
+        step = len(COVER)
+        k = np.flatnonzero(again[: -2 * step]) if len(at) > 2 * step else np.zeros(0, np.int64)
+        k = k[again[k + step] & again[k + 2 * step]]
+        k = k[(at[k + step] - at[k] == PERIOD) & (at[k + 2 * step] - at[k] == 2 * PERIOD)]
+        k = k[self._text_of(at[k]) == self._text_of(at[k + 2 * step])]
+        out = np.empty(len(k), [("a", "<u8"), ("b", "<u4")])
+        out["a"] = _tripled(names, k)
+        out["b"] = _tripled(self._names(at, self.tuple, self.kinds[1]), k) >> np.uint64(32)
+        return k, out
+
+    def inside(self, at: np.ndarray) -> np.ndarray:
+        """Which starts lie in a triple that starts at one of the places."""
+        mark = np.zeros(len(self.raw) + 1, np.int32)
+        mark[at] += 1
+        mark[at + PERIOD + 2] -= 1
+        return np.cumsum(mark[:-1]) > 0
+
     def open_places(self, at: np.ndarray, again: np.ndarray) -> np.ndarray:
         """Starts of whole-depth strings that reach a repeated sampled tuple."""
         n = len(self.raw)
         mark = np.zeros(n + 1, np.int32)
         p = at[again]
-        text = np.searchsorted(self.starts, p, side="right") - 1
-        np.add.at(mark, np.maximum(p - (PERIOD - 1), self.starts[text]), 1)
-        np.add.at(mark, p + 1, -1)
+        np.add.at(mark, np.maximum(p - (PERIOD - 1), self.starts[self._text_of(p)]), 1)
+        mark[p + 1] -= 1
         near = np.cumsum(mark[:-1]) > 0
         # Only starts that leave room for the whole depth.
         edge = np.zeros(n + 1, np.int32)
@@ -225,7 +262,8 @@ _SENT = "bucket int, slice bigint, n bigint, names binary"
 
 
 def _shared(sent: DataFrame, pairs: bool) -> DataFrame:
-    """For each slice the bits of its names, bucket by bucket: has another slice the name?"""
+    """For each slice the bits of its names, bucket by bucket: has another slice the name,
+    and does this slice stand for it (the first of the bucket that has it)?"""
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         sizes = group["n"].to_numpy()
@@ -238,32 +276,35 @@ def _shared(sent: DataFrame, pairs: bool) -> DataFrame:
         else:
             order = np.argsort(a, kind="stable")
             same = a[order][1:] == a[order][:-1]
-        twice = np.zeros(len(a), bool)
+        twice, first = np.zeros(len(a), bool), np.ones(len(a), bool)
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
+        first[order[1:][same]] = False
         ends = np.cumsum(sizes)
-        bits = [np.packbits(twice[e - n : e]).tobytes() for e, n in zip(ends, sizes)]
-        return pd.DataFrame({"slice": group["slice"], "bucket": group["bucket"], "n": sizes, "bits": bits})
+        bits, own = ([np.packbits(x[e - n : e]).tobytes() for e, n in zip(ends, sizes)] for x in (twice, first))
+        return pd.DataFrame({"slice": group["slice"], "bucket": group["bucket"], "n": sizes, "bits": bits, "own": own})
 
-    met = sent.groupBy("bucket").applyInPandas(meet, "slice bigint, bucket int, n bigint, bits binary")
+    met = sent.groupBy("bucket").applyInPandas(meet, "slice bigint, bucket int, n bigint, bits binary, own binary")
     # A slice has a bounded number of names, so its bits are few.
-    return met.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "bits"))).alias("flags"))
+    parts = F.collect_list(F.struct("bucket", "n", "bits", "own"))
+    return met.groupBy("slice").agg(F.sort_array(parts).alias("flags"))
 
 
-def _flags(parts) -> np.ndarray:
+def _flags(parts, name: str) -> np.ndarray:
     if not parts:
         return np.zeros(0, bool)
     return np.concatenate(
-        [np.unpackbits(np.frombuffer(p["bits"], np.uint8), count=p["n"]).astype(bool) for p in parts]
+        [np.unpackbits(np.frombuffer(p[name], np.uint8), count=p["n"]).astype(bool) for p in parts]
     )
 
 
-def _again(names: np.ndarray, flags: np.ndarray) -> np.ndarray:
-    """Which of the names stand twice in this slice or in another one as well."""
+def _again(names: np.ndarray, parts) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the names stand twice in this slice or in another one as well, and for which
+    of all names this slice stands."""
     distinct, rank, count = _ranked(names)
     if not len(distinct):
-        return np.zeros(0, bool)
-    return (flags | (count > 1))[rank]
+        return np.zeros(0, bool), np.zeros(0, bool)
+    return (_flags(parts, "bits") | (count > 1))[rank], _flags(parts, "own")[rank]
 
 
 def _stored(packed: DataFrame) -> DataFrame:
@@ -310,22 +351,37 @@ def removed(
             part = Slice(r["sizes"], r["blob"], depth, named)
             yield from _sent(r["slice"], part.sampled()[1], buckets)
 
-    def candidates(r, named):
+    def repeated_tuples(r, named):
         part = Slice(r["sizes"], r["blob"], depth, named)
         at, names = part.sampled()
-        places = part.open_places(at, _again(names, _flags(r["flags"])))
-        return part, places, part.whole(places)
+        again, _ = _again(names, r["flags"])
+        return part, at, again, *part.triples(at, again, names)
+
+    def remaining(r, named):
+        """Starts known to be repeated, and the places and names that are still compared:
+        starts outside repeated triples, and those in triples this slice stands for."""
+        part, at, again, k, triples = repeated_tuples(r, named)
+        twice, own = _again(triples, r["triples"])
+        known = part.inside(at[k[twice]])
+        places = part.open_places(at, again)
+        places = places[~known[places] | part.inside(at[k[twice & own]])[places]]
+        return part, np.flatnonzero(known), places, part.whole(places)
 
     def second(batches):
         named = kinds()
         for r in rows_of(batches):
-            yield from _sent(r["slice"], candidates(r, named)[2], buckets)
+            yield from _sent(r["slice"], repeated_tuples(r, named)[4], buckets)
+
+    def third(batches):
+        named = kinds()
+        for r in rows_of(batches):
+            yield from _sent(r["slice"], remaining(r, named)[3], buckets)
 
     def last(batches):
         named = kinds()
         for r in rows_of(batches):
-            part, places, names = candidates(r, named)
-            starts = places[_again(names, _flags(r["whole"]))]
+            part, known, places, names = remaining(r, named)
+            starts = np.union1d(known, places[_again(names, r["whole"])[0]])
             mark = np.zeros(len(part.raw) + 1, np.int32)
             mark[starts] += 1
             mark[starts + depth] -= 1
@@ -344,12 +400,15 @@ def removed(
     fields = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 6 if keep else 5]
     types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
     schema = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    texts = packed.select("slice", "sizes", "blob")
-    flags = materialize(_shared(texts.mapInArrow(first, _SENT), False), "flags")
-    flagged = packed.join(flags.hint("shuffle_hash"), "slice", "left")
-    deep = flagged.select("slice", "sizes", "blob", "flags").mapInArrow(second, _SENT)
-    whole = materialize(_shared(deep, True).withColumnRenamed("flags", "whole"), "flags")
-    out = flagged.join(whole.hint("shuffle_hash"), "slice", "left").mapInArrow(
-        last, schema + ", kept binary" * keep
-    )
+
+    def answered(name: str, asked: DataFrame, work, pairs: bool) -> DataFrame:
+        """``asked`` with the answers to what ``work`` sends about its slices."""
+        sent = asked.drop("ids").mapInArrow(work, _SENT)
+        found = materialize(_shared(sent, pairs).withColumnRenamed("flags", name), "flags")
+        return asked.join(found.hint("shuffle_hash"), "slice", "left")
+
+    tuples = answered("flags", packed, first, False)
+    triples = answered("triples", tuples, second, True)
+    whole = answered("whole", triples, third, True)
+    out = whole.mapInArrow(last, schema + ", kept binary" * keep)
     return out.withColumnRenamed("id", key)
