@@ -37,7 +37,7 @@ def test_ranks_as_the_format_says():
     assert RANKS[base64.b64decode(token)] == int(rank)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=100, deadline=None)
 @given(st.lists(st.text(max_size=80), max_size=6))
 def test_encoder_is_the_library(texts):
     encoder = bpe.Encoder(RANKS, P.PATTERN)
@@ -45,7 +45,7 @@ def test_encoder_is_the_library(texts):
     assert got == 2 * [TIKTOKEN.encode_ordinary(t) for t in texts]
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=100, deadline=None)
 @given(st.lists(st.text(alphabet="aend ti", min_size=1, max_size=60), max_size=20))
 def test_replay_of_runs_is_step_by_step(texts):
     raw = [t.encode() for t in texts]
@@ -79,7 +79,7 @@ def test_bpe_over_a_table(spark, tmp_path):
 # Decontamination
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=100, deadline=None)
 @given(st.lists(st.text(alphabet="ab ", min_size=1, max_size=9), min_size=1, max_size=8), st.text(alphabet="ab ", max_size=60))
 def test_wu_manber(strings, text):
     strings = sorted({s.encode() for s in strings})
@@ -113,7 +113,7 @@ def brute_contamination(docs, items):
     return out
 
 
-@pytest.mark.parametrize("block", [1 << 24, 400])
+@pytest.mark.parametrize("block", [1 << 24, 1500])
 def test_contamination(spark, tmp_path, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
     passage = prose(41, 30)
@@ -186,7 +186,7 @@ def brute_spans(t):
     return sorted(out, key=lambda s: (s[0], pii.KINDS.index(s[1])))
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="a@.-_%+1920 ()\n4é", max_size=60))
 def test_base_spans(text):
     assert [s[:3] for s in pii.base_spans(text)] == brute_spans(text)
@@ -386,7 +386,7 @@ def test_visible_text(page, text):
         assert got == text
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from("<p> </p> <td> <tr> <table> </table> <li> <ul> </ul> <b> </b> <pre> <br> x y & <!-- --> < > <div </div> <script> \" '".split() + [" ", "\n"]), max_size=40))
 def test_any_markup_has_a_text(parts):
     html_text.visible_text("".join(parts))
