@@ -59,8 +59,12 @@ def plan_records(pages: DataFrame, key: str, url: str, payload: str) -> DataFram
         .filter("n > 1").select("digest", "bytes", F.col("last.__row").alias("target"))
     )
     again = long.join(groups, ["digest", "bytes"]).filter("__row <> target").select("__row", "target")
-    kept = marks.join(again, "__row", "left").select("__row", "digest", "bytes", "target")
-    return rows.join(kept, "__row")
+    # Only revisits are joined. Stored, so that Spark knows their size: a short list goes to the
+    # payloads, beyond Spark's own limit the payloads are shuffled.
+    known = rows.withColumns(
+        {"digest": F.sha1(F.col("payload").cast("binary")), "bytes": F.octet_length("payload").cast("bigint")}
+    )
+    return known.join(materialize(again, "revisits"), "__row", "left")
 
 
 def write_archives(
