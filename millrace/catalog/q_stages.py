@@ -112,7 +112,7 @@ def stage_integrated(spark, d):
 
 @query("stage_reduce")
 def stage_reduced(spark, d):
-    return reduce_stage(integrated(spark, d))
+    return reduce_stage(integrated(spark, d), keep=("ss_season", "ss_PER"))
 
 
 TRANSFORMED = """
@@ -135,7 +135,7 @@ _NUMBERS = ("o_orderkey", "o_totalprice", "o_custkey")
         FROM g LEFT JOIN p USING (o_orderpriority) LEFT JOIN s USING (o_orderstatus), m""",
 )
 def stage_transformed(spark, d):
-    rows = transform_stage(view_query(spark, d, TRANSFORMED, "orders"))
+    rows = transform_stage(view_query(spark, d, TRANSFORMED, "orders"), sparse=False)
     bits = F.aggregate("o_orderpriority_index_onehot", F.lit(0.0), lambda a, x: a + x)
     scaled = [f"{c}_{s}" for c in _NUMBERS for s in ("minmax", "standard")]
     return rows.select(
@@ -147,15 +147,26 @@ def stage_transformed(spark, d):
     )
 
 
-@query("stage_discretize")
+@query(
+    "stage_discretize",
+    f"""WITH g AS (SELECT season, coalesce(PTS, 0.0) AS PTS, coalesce(Age, 0.0) AS Age, PER FROM ({SEASONS}))
+        SELECT season, {rd('PER')} AS per,
+               {', '.join(f"least(floor(({c} - {c}_l) / (({c}_h - {c}_l) / 5)), 4) + 0.0 AS {c}_equal_width" for c in ('PTS', 'Age', 'PER'))},
+               true AS clustered
+        FROM g, (SELECT {', '.join(f'min({c}) AS {c}_l, max({c}) AS {c}_h' for c in ('PTS', 'Age', 'PER'))} FROM g)""",
+)
 def stage_discretized(spark, d):
     rows = view_query(spark, d, SEASONS, "orders").na.fill(0.0, ["PTS", "Age"])
-    return discretize_stage(rows.drop("blanl"), key="season")
+    out = discretize_stage(rows.drop("blanl"), key="season", targets=["PER"])
+    widths = [F.col(f"{c}_equal_width") for c in ("PTS", "Age", "PER")]
+    return out.select(
+        "season", rounded("PER").alias("per"), *widths, F.col("player_cluster").between(0, 3).alias("clustered")
+    )
 
 
 def chain(spark, d):
     """Clean, join, label, split, fit, report."""
-    joined = materialize(reduce_stage(integrated(spark, d)), "reduced")
+    joined = materialize(reduce_stage(integrated(spark, d), keep=("ss_season", "ss_PER")), "reduced")
     return experiment(
         joined, "logistic", targets=("ss_PER",), key="ss_season", classes=["below", "above"]
     ).report

@@ -1,5 +1,6 @@
 """Statistics, correlation and principal components."""
 
+from functools import reduce
 from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import functions as F
@@ -106,7 +107,7 @@ def correlations(spark, d):
     return rows.withColumn("corr", rounded("corr"))
 
 
-_DIMS = 16
+_DIMS = 64
 
 
 @query(
@@ -158,16 +159,52 @@ def pca_rows(spark, d):
 
 # The shares of variance sum to 1 and the first component carries nearly all of it,
 # since prices are thousands of times larger than the other columns.
-@query("pca_variance")
+@query(
+    "pca_variance",
+    "SELECT unnest([1, 2, 3, 4]) AS component, true AS falling, true AS in_sum, true AS by_the_rule",
+)
 def variance(spark, d):
     rows, cols = pca_rows(spark, d)
-    return pca_variance(rows, pca_fit(rows, cols))
+    found = sorted(pca_variance(rows, pca_fit(rows, cols)).collect(), key=lambda r: r["component"])
+    ratios = [r["ratio"] for r in found]
+    checks = [
+        (
+            r["component"], i == 0 or ratios[i - 1] >= ratios[i],
+            abs(r["cumulative"] - sum(ratios[: i + 1])) < 1e-9 and abs(sum(ratios) - 1) < 1e-9,
+            r["kept"] == (sum(ratios[:i]) < 0.95),
+        )
+        for i, r in enumerate(found)
+    ]
+    return spark.createDataFrame(checks, "component int, falling boolean, in_sum boolean, by_the_rule boolean")
+
+
+# Components turn a row without changing its length, and the other columns pass through.
+_LENGTH = "l_linenumber * l_linenumber + l_quantity * l_quantity + l_extendedprice * l_extendedprice + l_tax * l_tax"
 
 
-@query("pca_project")
+@query(
+    "pca_project",
+    f"""WITH g AS ({LINES_GAPS}), f AS (
+            SELECT l_orderkey, l_linenumber, coalesce(l_quantity, (SELECT avg(l_quantity) FROM g)) AS l_quantity,
+                   l_extendedprice, coalesce(l_tax, (SELECT avg(l_tax) FROM g)) AS l_tax FROM g)
+        SELECT l_orderkey, {rd(f'sqrt({_LENGTH})', 4)} AS length FROM f""",
+)
 def projected(spark, d):
     rows, cols = pca_rows(spark, d)
-    return pca_project(rows.select("l_orderkey", *cols), cols, k=2)
+    out = pca_project(rows.select("l_orderkey", *cols), cols, k=len(cols))
+    square = reduce(lambda a, b: a + b, [F.col(f"PC{i + 1}") * F.col(f"PC{i + 1}") for i in range(len(cols))])
+    return out.select("l_orderkey", rounded(F.sqrt(square), 4).alias("length"))
+
+
+# k is 0.1 wherever a is present and 0.5 elsewhere: no correlation is defined, so nothing is dropped.
+@query("prune_with_gaps", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS a, "
+       "CASE WHEN o_orderkey % 3 > 0 THEN 0.1 ELSE 0.5 END AS k FROM orders")
+def pruned_gaps(spark, d):
+    present = F.col("o_orderkey") % 3 > 0
+    rows = table(spark, d, "orders").select(
+        "o_orderkey", F.when(present, F.col("o_totalprice")).alias("a"), F.when(present, 0.1).otherwise(0.5).alias("k")
+    )
+    return prune_correlated(rows, ["a", "k"])
 
 
 _PCA_COLS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from millrace.catalog.q_cleaning import histogram_sql
 from millrace.catalog.registry import LINES_GAPS, ORDERS_GAPS, lines_gaps, orders_gaps, query, rd, rounded, table
 from millrace.operators.binning import equal_width_bins, quantile_bins
-from millrace.operators.cleaning import sample_rows
 from millrace.operators.clustering import class_centroids, kmeans_assign, kmeans_elbow, nearest_centroid
 from millrace.operators.encoding import encode, string_index
 from millrace.operators.labeling import label_from_bin
@@ -140,7 +139,7 @@ def indexed_many(spark, d):
         FROM g LEFT JOIN p USING (o_orderpriority)""",
 )
 def encoded(spark, d):
-    rows = encode(orders_gaps(spark, d), ["o_orderpriority"])
+    rows = encode(orders_gaps(spark, d), ["o_orderpriority"], sparse=False)
     bits = F.transform("o_orderpriority_index_onehot", lambda x: x.cast("int").cast("string"))
     return rows.select("o_orderkey", F.array_join(bits, "").alias("priority"))
 
@@ -198,20 +197,41 @@ def nearest(spark, d):
 _CLUSTER_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query("kmeans_elbow")
+@query("kmeans_elbow", "SELECT unnest([3, 4, 5, 6, 7]) AS k, true AS falls")
 def elbow(spark, d):
-    return kmeans_elbow(table(spark, d, "lineitem"), _CLUSTER_COLS)
+    costs = sorted(map(tuple, kmeans_elbow(table(spark, d, "lineitem"), _CLUSTER_COLS).collect()))
+    falls = [(k, c > 0 and (i == 0 or c < costs[i - 1][1])) for i, (k, c) in enumerate(costs)]
+    return spark.createDataFrame(falls, "k int, falls boolean")
 
 
-@query("kmeans_assign")
+@query("kmeans_assign", f"SELECT count(*) AS n, CAST(4 AS BIGINT) AS clusters, {rd('100.0')} AS pct FROM lineitem")
 def clusters(spark, d):
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *_CLUSTER_COLS)
-    return group_sizes(kmeans_assign(rows, _CLUSTER_COLS), "cluster")
+    sizes = group_sizes(kmeans_assign(rows, _CLUSTER_COLS), "cluster")
+    return sizes.agg(F.sum("n").alias("n"), F.count("cluster").alias("clusters"), rounded(F.sum("pct")).alias("pct"))
 
 
-@query("cluster_scatter")
+@query("cluster_scatter", "SELECT o_orderkey, o_totalprice, o_custkey, true AS clustered FROM orders")
 def scatter(spark, d):
-    """Two features and the cluster of a keyed sample of the rows."""
+    """Two features and the cluster of all rows."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    assigned = kmeans_assign(orders, ["o_totalprice"])
-    return sample_rows(assigned, 0.25, key="o_orderkey").select("o_totalprice", "o_custkey", "cluster")
+    assigned = kmeans_assign(orders, ["o_totalprice", "o_custkey"])
+    return assigned.select("o_orderkey", "o_totalprice", "o_custkey", F.col("cluster").between(0, 3).alias("clustered"))
+
+
+_SOURCES = """SELECT source, row_number() OVER (ORDER BY n DESC, source) - 1 AS i
+              FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)"""
+
+
+@query(
+    "one_hot_sparse",
+    f"""SELECT doc_id, CAST((SELECT count(*) FROM ({_SOURCES})) AS INT) AS width, CAST(i AS INT) AS place,
+               CAST(1.0 AS DOUBLE) AS value
+        FROM documents JOIN ({_SOURCES}) USING (source)""",
+)
+def sparse_encoded(spark, d):
+    hot = F.col("source_index_onehot")
+    return encode(table(spark, d, "documents").select("doc_id", "source"), ["source"]).select(
+        "doc_id", hot["size"].alias("width"), F.get(hot["indices"], F.lit(0)).alias("place"),
+        F.get(hot["values"], F.lit(0)).alias("value"),
+    )

@@ -57,6 +57,13 @@ def unit_hash(key: Column, seed: int = 42) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def row_key(key: str, columns: Sequence[str]) -> Column:
+    """The key as text; rows without one get a key made of the whole row."""
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+    own = F.concat(F.lit("null:"), F.xxhash64(F.to_json(F.struct(*quoted))).cast("string"))
+    return F.coalesce(F.col("`" + key.replace("`", "``") + "`").cast("string"), own)
+
+
 def argmax_class(scores: Column) -> Column:
     """Position of the largest score, the first one on ties."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import numeric_columns, ref
-from millrace.functions.scalars import UNKNOWN_TEXT, unit_hash
+from millrace.functions.scalars import UNKNOWN_TEXT, row_key, unit_hash
 
 
 def dedup_rows(
@@ -114,8 +114,9 @@ def sample_rows(
     """A random share of the rows.
 
     With ``key`` the choice depends on key and seed only, and survives any
-    repartitioning; without it, Spark's sampler is used.
+    repartitioning; rows without a key are chosen by their content. Without
+    ``key`` Spark's sampler is used.
     """
     if key is None:
         return df.sample(fraction=fraction, seed=seed)
-    return df.filter(unit_hash(ref(key), seed) < F.lit(fraction))
+    return df.filter(unit_hash(row_key(key, df.columns), seed) < F.lit(fraction))

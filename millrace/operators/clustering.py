@@ -22,6 +22,7 @@ ELBOW_KS = (3, 4, 5, 6, 7)
 CLUSTERS = 4
 MAX_ITER = 20
 SEED = 42
+MAX_CLASSES = 10_000
 
 
 def kmeans_fit(
@@ -66,12 +67,18 @@ def kmeans_assign(
     return model.setPredictionCol(out).transform(assembled).drop("__features")
 
 
-def class_centroids(df: DataFrame, label: str, col: str) -> list[list[float]]:
-    """Mean vector of every class, in class order."""
+def class_centroids(
+    df: DataFrame, label: str, col: str, max_classes: int = MAX_CLASSES
+) -> list[tuple[int, list[float]]]:
+    """``(label, mean vector)`` of every class, in class order; fails beyond ``max_classes``,
+    as the centres go to the driver and to every task."""
     means = df.groupBy(ref(label).alias("label")).agg(
         Summarizer.mean(array_to_vector(ref(col).cast("array<double>"))).alias("center")
     )
-    return [[float(x) for x in r["center"]] for r in means.orderBy("label").collect()]
+    rows = means.filter("label is not null").orderBy("label").limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"more than {max_classes} classes in {label}")
+    return [(int(r["label"]), [float(x) for x in r["center"]]) for r in rows]
 
 
 def _distance_matrix(points: pd.Series, centers: Sequence[Sequence[float]]) -> np.ndarray:
@@ -81,7 +88,8 @@ def _distance_matrix(points: pd.Series, centers: Sequence[Sequence[float]]) -> n
 
 
 def centroid_distances(col: str, centroids: Sequence[Sequence[float]]) -> Column:
-    """Squared distances of an array column to the centres, as an array."""
+    """Squared distances of an array column to the centres, as an array in their order."""
+    centroids = [c[1] if isinstance(c, tuple) else c for c in centroids]
 
     @F.pandas_udf("array<double>")
     def distances(points: pd.Series) -> pd.Series:
@@ -95,20 +103,27 @@ def centroid_distances(col: str, centroids: Sequence[Sequence[float]]) -> Column
 
 
 def nearest_centroid(
-    df: DataFrame, centroids: Sequence[Sequence[float]], col: str, out: str = "cluster"
+    df: DataFrame,
+    centroids: Sequence[Sequence[float] | tuple[int, Sequence[float]]],
+    col: str,
+    out: str = "cluster",
 ) -> DataFrame:
     """Add the number of the nearest centre, the first one on ties.
 
+    Centres given as ``(label, vector)`` are named by their labels, others by position.
     Works on Arrow batches: several times faster than array expressions, which
     walk the elements one by one.
     """
 
+    pairs = [c if isinstance(c, tuple) else (i, c) for i, c in enumerate(centroids)]
+    names, vectors = np.array([i for i, _ in pairs]), [v for _, v in pairs]
+
     @F.pandas_udf("int")
     def nearest(points: pd.Series) -> pd.Series:
         known = points.dropna()
         if not len(known):
             return pd.Series([None] * len(points), dtype="object")
-        found = pd.Series(_distance_matrix(known, centroids).argmin(axis=1), index=known.index)
+        found = pd.Series(names[_distance_matrix(known, vectors).argmin(axis=1)], index=known.index)
         return found.reindex(points.index).astype("Int32")
 
     return df.withColumn(out, nearest(ref(col)))

@@ -16,7 +16,6 @@ from millrace.operators.joins import HOT_ROWS, left_join
 from millrace.session import collect_small, materialize
 
 SHORT_LIST = 10_000
-DENSE_WIDTH = 1_024
 
 
 def label_ranks(df: DataFrame, col: str, short_list: int = SHORT_LIST) -> tuple[DataFrame, int, bool]:
@@ -103,18 +102,19 @@ def one_hot(
     df: DataFrame,
     cols: Sequence[str],
     sizes: dict[str, int] | None = None,
-    sparse: bool | None = None,
+    sparse: bool = True,
 ) -> DataFrame:
     """Add ``c_index_onehot`` from ``c_index``; ``sizes`` counts the known labels.
 
-    The bucket after the last known label is all zeros. Narrow encodings are
-    arrays; wide ones (or ``sparse=True``) hold width, position and value only.
+    The bucket after the last known label is all zeros. A column holds width,
+    position and value, or with ``sparse=False`` one array element per label; the
+    number of labels never decides which.
     """
     sizes = sizes or index_sizes(df, cols)
     added = []
     for c in cols:
         index, width = ref(f"{c}_index"), sizes[c]
-        if sparse or (sparse is None and width > DENSE_WIDTH):
+        if sparse:
             known = index < F.lit(float(width))
             hot = F.struct(
                 F.lit(width).alias("size"),
@@ -131,10 +131,12 @@ def one_hot(
     return df.select("*", *added)
 
 
-def encode(df: DataFrame, cols: Sequence[str], invalid: str = "keep") -> DataFrame:
+def encode(
+    df: DataFrame, cols: Sequence[str], invalid: str = "keep", sparse: bool = True
+) -> DataFrame:
     """Index and one-hot columns, ranking every label list once."""
     out, sizes = df, {}
     for col in cols:
         ranks, sizes[col], short = label_ranks(df, col)
         out = apply_ranks(out, col, ranks, sizes[col], short, invalid)
-    return one_hot(out, cols, sizes) if cols else out
+    return one_hot(out, cols, sizes, sparse) if cols else out

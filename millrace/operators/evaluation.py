@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
 from millrace.operators.distribution import running_totals
+from millrace.session import materialize
 
 # Fixed value: class probabilities are kept this far from 0 and 1.
 PROBABILITY_FLOOR = 1e-7
@@ -164,15 +165,19 @@ def report_text(report: DataFrame, digits: int = 4) -> str:
 def score_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row per score: positives ``p``, negatives ``n``, their running totals ``cum_p``,
     ``cum_n`` from the highest score down, and the overall totals ``all_p``, ``all_n``,
-    which are null unless the labels are 0 and 1."""
-    y = ref(label)
-    rows = df.filter(y.isNotNull() & ref(score).isNotNull()).select(
+    which are null unless the labels are 0 and 1. Rows with a null or NaN score are left out."""
+    y, known = ref(label), ref(score).cast("double")
+    rows = df.filter(y.isNotNull() & known.isNotNull() & ~F.isnan(known)).select(
         ref(score).cast("double").alias("score"),
         F.when(y == 1, 1).otherwise(0).alias("p"),
         F.when(y == 0, 1).otherwise(0).alias("n"),
         F.when(y.isin(0, 1), 0).otherwise(1).alias("other"),
     )
-    points, total = running_totals(rows, "score", ["p", "n", "other"], descending=True)
+    # one row per score, stored: the input is evaluated once, however costly it is
+    counts = rows.groupBy("score").agg(*[F.sum(c).alias(c) for c in ("p", "n", "other")])
+    points, total = running_totals(
+        materialize(counts, "score-counts"), "score", ["p", "n", "other"], descending=True
+    )
     binary = total["p"] and total["n"] and not total["other"]
     return points.select(
         "score", "p", "n", "cum_p", "cum_n",
@@ -255,8 +260,12 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score")
 
 
 def log_loss(df: DataFrame, label: str = "label", scores: str = "probability") -> DataFrame:
-    """Mean negative log probability of the true class."""
-    p = F.get(ref(scores), ref(label).cast("int"))
+    """Mean negative log probability of the true class; fails on a label without a score."""
+    y = ref(label).cast("int")
+    p = F.when(
+        y.isNotNull() & ref(scores).isNotNull() & ((y < 0) | (y >= F.size(ref(scores)))),
+        F.raise_error(F.concat(F.lit("no score for label "), y.cast("string"))).cast("double"),
+    ).otherwise(F.get(ref(scores), y))
     kept = F.greatest(F.least(p, F.lit(1.0 - PROBABILITY_FLOOR)), F.lit(PROBABILITY_FLOOR))
     return df.agg((-F.avg(F.ln(kept))).alias("log_loss"))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +18,7 @@ from millrace.session import broadcast_small, materialize
 
 # Fixed value: the key that rows without a name end up with after cleaning.
 PLACEHOLDER_KEYS = ("unknown",)
-# A key held by more than one row in 200 is always among the 200 most frequent.
-HOT_LIST = 200
+# Rows of one key beyond which it is joined in parts of that many rows.
 HOT_ROWS = 2_000_000
 BROADCAST_ROWS = 10_000
 
@@ -30,17 +28,16 @@ def _match_key(key: str, placeholders: Sequence[str]) -> Column:
     return F.when(~c.isin(*placeholders), c) if placeholders else c
 
 
-def _frequent(df: DataFrame, hot_rows: int) -> dict:
-    """The at most ``HOT_LIST`` match keys (null among them) with over ``hot_rows`` rows."""
-    counts = df.groupBy("__k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
-    return {r["__k"]: r["n"] for r in counts.orderBy(F.desc("n")).limit(HOT_LIST).collect()}
+def _hot_keys(a: DataFrame, b: DataFrame, hot_rows: int) -> DataFrame | None:
+    """``(__k, __na, __nb)`` of every match key (null among them) with over ``hot_rows`` rows on
+    either side, with its rows on both; None when there is no such key."""
 
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("__k").agg(F.count(F.lit(1)).alias(name))
 
-def _counts_of(df: DataFrame, keys: Sequence) -> dict:
-    if not keys:
-        return {}
-    counts = df.filter(F.col("__k").isin(*keys)).groupBy("__k").agg(F.count(F.lit(1)).alias("n"))
-    return {r["__k"]: r["n"] for r in counts.collect()}
+    both = counts(a, "__na").join(counts(b, "__nb"), "__k", "full").na.fill(0, ["__na", "__nb"])
+    hot = materialize(both.filter((F.col("__na") > hot_rows) | (F.col("__nb") > hot_rows)), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def _join(
@@ -77,75 +74,63 @@ def _join(
     if hot_rows is None:
         return shaped(a.join(b, "__k", how))
 
-    hot_a, hot_b = _frequent(a.select("__k"), hot_rows), _frequent(b.select("__k"), hot_rows)
-    if not hot_a and not hot_b:
+    found = _hot_keys(a.select("__k"), b.select("__k"), hot_rows)
+    if found is None:
         return shaped(a.join(b, "__k", how))
-
-    hot = [k for k in {**hot_a, **hot_b} if k is not None]
-    n_a, n_b = _counts_of(a.select("__k"), hot), _counts_of(b.select("__k"), hot)
-    shared = [k for k in hot if k in n_a and k in n_b]
-    alone = [k for k in hot if k not in shared]
-    no_key = F.col("__k").isNull()
-
-    def among(keys: Sequence) -> Column:
-        return F.col("__k").isin(*keys) if keys else F.lit(False)
-
-    usual = ~no_key & ~among(hot)
-    parts = [shaped(a.filter(usual).join(b.filter(usual), "__k", how))]
+    # However many hot keys there are, each is known; a short list is sent to all tasks.
+    hot = broadcast_small(found.filter("__k is not null"), BROADCAST_ROWS)
+    a_all, b_all = a.join(hot, "__k", "left"), b.join(hot, "__k", "left")
+    usual = "__k is not null and __na is null"
+    alone = "__k is null or __na = 0 or __nb = 0"
+    parts = [shaped(a_all.filter(usual).drop("__na", "__nb").join(b_all.filter(usual).drop("__na", "__nb"), "__k", how))]
     # rows that cannot match need no shuffle at all
-    parts.append(shaped(a.filter(no_key | among(alone))))
+    parts.append(shaped(a_all.filter(alone)))
     if how == "outer":
-        parts.append(shaped(b.filter(no_key | among(alone))))
-    if shared:
-        parts.append(shaped(_hot_join(a, b, shared, n_a, n_b, hot_rows)))
+        parts.append(shaped(b_all.filter(alone)))
+    shared = "__na > 0 and __nb > 0"
+    n_a, n_b = found.filter("__k is not null").filter(shared).agg(F.sum("__na"), F.sum("__nb")).first()
+    if n_a:
+        parts.append(shaped(_hot_join(a_all.filter(shared), b_all.filter(shared), n_a, n_b, hot_rows)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
-def _hot_join(
-    a: DataFrame, b: DataFrame, keys: Sequence, n_a: dict, n_b: dict, hot_rows: int
-) -> DataFrame:
+def _hot_join(left: DataFrame, right: DataFrame, n_left: int, n_right: int, hot_rows: int) -> DataFrame:
     """Inner join of hot keys: the side with few and short rows is broadcast, so that the
     other one is not shuffled; with many rows on both sides they meet in a grid."""
-    left, right = (df.filter(F.col("__k").isin(*keys)) for df in (a, b))
-    for few, counts, many in ((right, n_b, left), (left, n_a, right)):
-        if sum(counts[k] for k in keys) <= BROADCAST_ROWS:
+    plain = [df.drop("__na", "__nb") for df in (left, right)]
+    for few, n, many in ((plain[1], n_right, plain[0]), (plain[0], n_left, plain[1])):
+        if n <= BROADCAST_ROWS:
             small = broadcast_small(few, BROADCAST_ROWS)
             if small is not few:
                 return many.join(small, "__k", "inner")
-    return _grid_join(a, b, keys, n_a, n_b, hot_rows)
+    return _grid_join(left, right, hot_rows)
 
 
-def _grid_join(
-    a: DataFrame, b: DataFrame, keys: Sequence, n_a: dict, n_b: dict, hot_rows: int
-) -> DataFrame:
-    """Inner join of hot keys: the rows of a key are cut into parts on both sides and
-    every part meets every part of the other side in a cell of its own.
+def _grid_join(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame:
+    """Inner join of hot keys: the rows of a key are cut into parts on both sides, as many
+    as its counts ask for, and every part meets every part of the other side in a cell of
+    its own.
 
     The random part numbers are written down first, so that a repeated task
     cannot draw other ones.
     """
-    cells = {k: (max(1, ceil(n_a[k] / hot_rows)), max(1, ceil(n_b[k] / hot_rows))) for k in keys}
 
-    def size(which: int) -> Column:
-        cases = F.lit(1)
-        for k in keys:
-            cases = F.when(F.col("__k") == F.lit(k), cells[k][which]).otherwise(cases)
-        return cases
+    def size(name: str) -> Column:
+        return F.ceil(F.col(name) / F.lit(hot_rows)).cast("int")
 
-    def drawn(df: DataFrame, which: int, name: str) -> DataFrame:
-        part = F.floor(F.rand(42 + which) * size(which)).cast("int")
-        rows = df.filter(F.col("__k").isin(*keys)).withColumn(name, part)
-        return materialize(rows, "hot-keys")
+    def drawn(df: DataFrame, seed: int, own: str, name: str) -> DataFrame:
+        part = F.floor(F.rand(seed) * size(own)).cast("int")
+        return materialize(df.withColumn(name, part), "hot-rows")
 
-    def every(which: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), size(which) - 1))
+    def every(name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), size(name) - 1))
 
-    left = drawn(a, 0, "__i").withColumn("__j", every(1))
-    right = drawn(b, 1, "__j").withColumn("__i", every(0))
-    return left.join(right, ["__k", "__i", "__j"], "inner")
+    a = drawn(left, 42, "__na", "__i").withColumn("__j", every("__nb")).drop("__na", "__nb")
+    b = drawn(right, 43, "__nb", "__j").withColumn("__i", every("__na")).drop("__na", "__nb")
+    return a.join(b, ["__k", "__i", "__j"], "inner")
 
 
 def left_join(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
-from millrace.functions.scalars import unit_hash
+from millrace.functions.scalars import row_key, unit_hash
 
 # Split shares.
 TRAIN_TEST = (0.8, 0.2)
@@ -29,13 +29,13 @@ def label_above_mean(
     return rows.withColumn(out, F.when(ref(target) >= mean, 1).otherwise(0))
 
 
-def label_above_mean_sql(df: DataFrame, target: str, view: str = "labelled_rows") -> DataFrame:
-    """Same label in SQL text over a temporary view; rows without a target get 0."""
-    quoted = "`" + target.replace("`", "``") + "`"
-    df.createOrReplaceTempView(view)
+def label_above_mean_sql(df: DataFrame, target: str) -> DataFrame:
+    """Same label in SQL text; rows without a target get 0. No view of the session is touched."""
+    quoted = "`" + target.replace("`", "``").replace("{", "{{").replace("}", "}}") + "`"
     return df.sparkSession.sql(
-        f"SELECT *, CASE WHEN {quoted} >= (SELECT avg({quoted}) FROM {view})"
-        f" THEN 1 ELSE 0 END AS label FROM {view}"
+        f"SELECT *, CASE WHEN {quoted} >= (SELECT avg({quoted}) FROM {{rows}})"
+        " THEN 1 ELSE 0 END AS label FROM {rows}",
+        rows=df,
     )
 
 
@@ -62,9 +62,9 @@ def split_rows(
 def split_number(
     df: DataFrame, shares: Sequence[float], key: str, seed: int = 42, out: str = "__part"
 ) -> DataFrame:
-    """Add the number of the part each row falls in."""
+    """Add the number of the part each row falls in; rows without a key are dealt by content."""
     total, upto = float(sum(shares)), 0.0
-    place = unit_hash(ref(key), seed)
+    place = unit_hash(row_key(key, df.columns), seed)
     number = F.lit(len(shares) - 1)
     bounds = []
     for share in shares[:-1]:

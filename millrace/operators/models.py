@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 from time import perf_counter
 
 from pyspark.ml import PipelineModel
@@ -16,7 +15,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
@@ -34,8 +33,9 @@ SETTINGS = {
 HIDDEN_LAYERS = (20, 10)
 SPLIT_SEEDS = {"logistic": 42, "mlp": 42, "svm": 45, "tree": 42, "forest": 42}
 
-# Feature values (times trees) that one part of a training table should hold.
-WORK_PER_PART = 200_000
+# Parts of a training table. Forests draw their bags part by part, so the number is an
+# argument and never follows the data or the cluster.
+TRAIN_PARTS = 8
 
 _CLASSIFIERS = {
     "logistic": LogisticRegression,
@@ -101,17 +101,14 @@ def positive_score(scored: DataFrame) -> Column:
     return F.get(vector_to_array(F.col(name)), F.lit(1))
 
 
-def balanced(rows: DataFrame, kind: str, width: int, trees: int = 1) -> DataFrame:
-    """Training rows in as many parts as their work is worth.
+def dealt(rows: DataFrame, parts: int = TRAIN_PARTS) -> DataFrame:
+    """Training rows in ``parts`` parts by their content, each in a fixed order.
 
-    Iterative fits pay a fixed price per part and pass, forests gain from every
-    core. Never more parts than the table has or the cluster runs at a time.
+    The same rows give the same parts on any cluster and from any storage; set
+    ``parts`` to the cores of the cluster for large tables. Equal rows share a part.
     """
-    current = rows.rdd.getNumPartitions()
-    most = max(current, rows.sparkSession.sparkContext.defaultParallelism)
-    work = rows.count() * max(width, 1) * (trees if kind == "forest" else 1)
-    parts = min(max(ceil(work / WORK_PER_PART), 1), most)
-    return rows.coalesce(parts) if parts <= current else rows.repartition(parts)
+    columns = [ref(c) for c in rows.columns]
+    return rows.repartition(parts, *columns).sortWithinPartitions(*columns)
 
 
 def evaluate(
@@ -121,18 +118,18 @@ def evaluate(
     features: Sequence[str],
     label: str = "label",
     classes: int = 2,
+    parts: int = TRAIN_PARTS,
     **settings,
-) -> tuple[dict, DataFrame, DataFrame | None]:
+) -> tuple[dict, DataFrame, DataFrame | None, PipelineModel]:
     """Train, score and measure one classifier.
 
     Returns the result row, the stored test rows ``(label, prediction,
-    probability, score)`` and, for two classes, their score points. The training
-    rows are read several times, so they should come from a stored table.
+    probability, score)``, for two classes their score points, and the model. The
+    training rows are read several times, so they should come from a stored table.
     """
     begin = perf_counter()
-    trees = {**SETTINGS[kind], **settings}.get("numTrees", 1)
-    parts = balanced(train_rows.select(*[ref(c) for c in [*features, label]]), kind, len(features), trees)
-    model = train(kind, parts, features, label, classes=classes, **settings)
+    rows = dealt(train_rows.select(*[ref(c) for c in [*features, label]]), parts)
+    model = train(kind, rows, features, label, classes=classes, **settings)
     trained = perf_counter()
     scored = predict(model, test_rows)
     probability = F.lit(None).cast("array<double>")
@@ -153,7 +150,7 @@ def evaluate(
     points = score_points(tested) if classes == 2 else None
     if points is not None:
         row |= areas_from(points).first().asDict()
-    return row, tested, points
+    return row, tested, points, model
 
 
 def linear_score(
@@ -191,3 +188,15 @@ def linear_terms(model: PipelineModel) -> tuple[list[float], float]:
     """Coefficients and intercept of a fitted linear model."""
     last = model.stages[-1]
     return [float(x) for x in last.coefficients], float(last.intercept)
+
+
+def feature_weights(model: PipelineModel, features: Sequence[str], spark: SparkSession) -> DataFrame:
+    """``(feature, weight)``: coefficients of a linear model on the scaled features, with the
+    intercept under a null name, or the importances of a tree or forest. Empty for others."""
+    fitted = model.stages[-1]
+    rows: list[tuple[str | None, float]] = []
+    if hasattr(fitted, "featureImportances"):
+        rows = list(zip(features, map(float, fitted.featureImportances.toArray())))
+    elif hasattr(fitted, "coefficients"):
+        rows = [*zip(features, map(float, fitted.coefficients.toArray())), (None, float(fitted.intercept))]
+    return spark.createDataFrame(rows, "feature string, weight double")

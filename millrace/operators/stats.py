@@ -16,8 +16,10 @@ from millrace.functions.columns import drop_if_present, numeric_columns, ref
 # Pruning and variance limits.
 CORRELATION_LIMIT = 0.85
 VARIANCE_SHARE = 0.95
-# Projections with more terms than this go through vectors.
+# Projections with more terms than this go through vectors; the results are the same.
 PROJECTION_TERMS = 1_000
+# A sum of squared deviations below this share of the sum of squares is rounding noise.
+NO_SPREAD = 1e-12
 
 
 def column_stats(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
@@ -97,13 +99,18 @@ def _pair_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     parts = named.mapInPandas(products, "i int, j int, " + ", ".join(f"{k} double" for k in sums))
     total = parts.groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in sums])
     n = F.nullif(F.col("n"), F.lit(0.0))
+
+    def spread(q: str, s: str):
+        v = F.col(q) - F.col(s) * F.col(s) / n
+        return F.when(v.isNull(), None).when(v > NO_SPREAD * F.col(q), v).otherwise(0.0)
+
     return total.select(
         "i",
         "j",
         F.col("n").cast("bigint").alias("n"),
         (F.col("p") - F.col("si") * F.col("sj") / n).alias("co"),
-        (F.col("qi") - F.col("si") * F.col("si") / n).alias("vi"),
-        (F.col("qj") - F.col("sj") * F.col("sj") / n).alias("vj"),
+        spread("qi", "si").alias("vi"),
+        spread("qj", "sj").alias("vj"),
     )
 
 
@@ -117,8 +124,8 @@ def _named_pairs(pairs: DataFrame, cols: Sequence[str]) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``(col_i, col_j, corr)``: absolute Pearson correlation of all pairs i < j.
 
-    Each pair uses the rows where both are present. Null where a column has no
-    spread on those rows.
+    Each pair uses the rows where both are present; NaN and infinite values count
+    as missing. Null, never NaN, where a column has no spread on those rows.
     """
     cols = numeric_columns(df) if cols is None else list(cols)
     scale = F.nullif(F.sqrt(F.col("vi")) * F.sqrt(F.col("vj")), F.lit(0.0))
@@ -143,7 +150,8 @@ def redundant_columns(
     cols = numeric_columns(df) if cols is None else list(cols)
     if len(cols) < 2:
         return []
-    hits = correlation_matrix(df, cols).filter(F.col("corr") > limit).select("col_j").distinct()
+    pairs = correlation_matrix(df, cols).filter("corr is not null and not isnan(corr)")
+    hits = pairs.filter(F.col("corr") > limit).select("col_j").distinct()
     found = {row[0] for row in hits.collect()}
     return [c for c in cols if c in found]
 
@@ -190,6 +198,8 @@ def pca_project(
 ) -> DataFrame:
     """Add ``PC1..PCk``; rows are not centred. ``k`` defaults to the 95 % rule.
 
+    A null in any of the columns makes all components of the row null.
+
     A moderate number of terms is written as plain sums, which stay in generated
     code; wide projections go through the model's vectors.
     """
@@ -206,7 +216,8 @@ def pca_project(
     scored = model.transform(vectors.transform(df)).withColumn(
         "__array", vector_to_array(F.col("__scores"))
     )
+    whole = reduce(lambda a, b: a & b, [ref(c).isNotNull() for c in cols])
     return scored.select(
         *[ref(c) for c in df.columns],
-        *[F.get(F.col("__array"), F.lit(i)).alias(f"PC{i + 1}") for i in range(k)],
+        *[F.when(whole, F.get(F.col("__array"), F.lit(i))).alias(f"PC{i + 1}") for i in range(k)],
     )

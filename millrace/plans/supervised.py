@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,19 +21,24 @@ from millrace.operators.evaluation import (
     roc_from,
 )
 from millrace.operators.labeling import TRAIN_TEST, label_above_mean, label_from_bin, split_rows
-from millrace.operators.models import SPLIT_SEEDS, evaluate, export_predictions
+from millrace.operators.models import SPLIT_SEEDS, evaluate, export_predictions, feature_weights, predict
 from millrace.session import materialize
 from millrace.sources.tables import write_table, write_text
 
 # Where the target is looked for, in this order.
 TARGETS = ("ss_PER_quantile", "ss_PER", "PER")
 TARGET_TEXT = "PER"
+# Endings of the columns that the stages make from another one.
+DERIVED = ("minmax", "standard", "index", "onehot", "equal_width", "quantile")
 
 
 @dataclass(frozen=True)
 class Experiment:
-    """The tables of one fitted and measured model."""
+    """A fitted model, its features and weights, and the tables that measure it."""
 
+    model: PipelineModel
+    features: tuple[str, ...]
+    weights: DataFrame
     results: DataFrame
     confusion: DataFrame
     averages: DataFrame
@@ -40,15 +47,25 @@ class Experiment:
     pr: DataFrame | None
     predictions: DataFrame
 
+    def score(self, df: DataFrame) -> DataFrame:
+        """Any table with the features, scored by the model; incomplete rows as in training."""
+        return predict(self.model, df)
+
     def write(self, path: str, fmt: str = "csv") -> None:
         """Write every table to a folder of its own, and the report as text too."""
         root = path.rstrip("/")
         for name, df in vars(self).items():
-            if df is not None:
+            if isinstance(df, DataFrame):
                 write_table(df, f"{root}/{name}", fmt)
+        self.model.write().overwrite().save(f"{root}/model")
         write_text(self.report.sparkSession, report_text(self.report), f"{root}/report_text")
 
 
+def derived_from(column: str, base: str) -> bool:
+    """Whether a prepared column is ``base`` or was made from it by scaling, encoding or binning."""
+    return re.fullmatch(re.escape(base) + f"(_({'|'.join(DERIVED)}))*", column) is not None
+
+
 def experiment(
     df: DataFrame,
     kind: str,
@@ -80,13 +97,13 @@ def experiment(
         features = [
             c
             for c in names
-            if c not in (key, "label") and not (drop_derived and (c == base or c.startswith(base + "_")))
+            if c not in (key, "label") and not (drop_derived and derived_from(c, base))
         ]
     kept = [*features, *([key] if key else [])]
     rows = materialize(labelled.select(*[ref(c) for c in kept], "label"), "model-rows")
     n_classes = int(rows.agg(F.max("label")).first()[0]) + 1 if binned else 2
     train_rows, test_rows = split_rows(rows, TRAIN_TEST, key=key, seed=SPLIT_SEEDS[kind])
-    row, tested, points = evaluate(
+    row, tested, points, model = evaluate(
         kind,
         train_rows,
         test_rows,
@@ -96,6 +113,9 @@ def experiment(
         **settings,
     )
     return Experiment(
+        model=model,
+        features=tuple(features),
+        weights=feature_weights(model, features, df.sparkSession),
         results=results_table(df.sparkSession, [row]),
         confusion=confusion_matrix(tested),
         averages=averaged_metrics(tested),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import cleaning as K
 from millrace.operators import distribution as D
+from millrace.operators.labeling import split_rows
 
 
 def test_dedup_keeps_the_first_by_order(spark):
@@ -77,6 +78,14 @@ def test_sample_does_not_depend_on_partitions(spark, parts):
     assert ids == again and 150 < len(ids) < 250
 
 
+def test_rows_without_a_key_are_sampled_and_split_like_others(spark):
+    df = spark.range(0, 4000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), (F.col("id") * 3).alias("v"))
+    drawn = K.sample_rows(df, 0.25, "k")
+    assert 400 < drawn.filter("k is null").count() < 600
+    parts = [p.filter("k is null").count() for p in split_rows(df, (0.8, 0.2), "k")]
+    assert sum(parts) == 2000 and 320 < parts[1] < 480
+
+
 def test_histogram_flat_and_empty_bins(spark):
     flat = D.histogram(spark.createDataFrame([(2.0,), (2.0,), (None,)], "x double"), "x", 4)
     assert [r["n"] for r in flat.orderBy("bin").collect()] == [0, 0, 2, 0]

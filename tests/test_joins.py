@@ -43,12 +43,17 @@ def test_join_matches_brute_force(spark, monkeypatch, how, placeholders, hot_row
     assert Counter(map(tuple, got.collect())) == brute(how, placeholders)
 
 
-def test_more_hot_keys_than_the_list_holds(spark, monkeypatch):
-    monkeypatch.setattr(J, "HOT_LIST", 1)
-    left = spark.createDataFrame(LEFT, "name_norm string, v int")
-    right = spark.createDataFrame(RIGHT, "name_norm string, w string")
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_every_hot_key_is_split_however_many_there_are(spark, monkeypatch, few):
+    monkeypatch.setattr(J, "BROADCAST_ROWS", few)
+    left = spark.createDataFrame([(f"k{i % 260}", i) for i in range(260 * 5)], "name_norm string, v int")
+    right = spark.createDataFrame([(f"k{i % 250}", i) for i in range(250 * 4)], "name_norm string, w int")
+    hot = J._hot_keys(*[df.withColumnRenamed("name_norm", "__k") for df in (left, right)], 3)
+    assert hot.count() == 260
     got = J.outer_join(left, right, hot_rows=3)
-    assert Counter(map(tuple, got.collect())) == brute("outer", ())
+    want = [(f"k{i % 260}", i, j) for i in range(1300) for j in range(i % 260, 1000, 250) if i % 260 < 250]
+    want += [(f"k{i % 260}", i, None) for i in range(1300) if i % 260 >= 250]
+    assert Counter(map(tuple, got.collect())) == Counter(want)
 
 
 def test_nested_columns_are_not_broadcast(spark):

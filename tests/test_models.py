@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -202,11 +203,42 @@ def test_tie_gives_class_zero(spark):
     assert [r["prediction"] for r in M.linear_score(df, {"x": 1.0}, 0.0).collect()] == [0.0, 1.0]
 
 
-def test_training_parts_follow_the_work(spark):
-    rows = spark.range(0, 40000, 1, 3).withColumn("a", F.col("id") * 1.0)
-    most = max(3, spark.sparkContext.defaultParallelism)
-    assert M.balanced(rows, "svm", 1).rdd.getNumPartitions() == 1
-    assert M.balanced(rows, "svm", 10).rdd.getNumPartitions() == 2
-    assert M.balanced(rows, "svm", 10_000).rdd.getNumPartitions() == most
-    assert M.balanced(rows, "forest", 1, 200).rdd.getNumPartitions() == most
-    assert M.balanced(rows, "forest", 1, 200).count() == 40000
+def test_a_forest_does_not_depend_on_the_storage(spark):
+    rows = spark.range(600).select(
+        (F.col("id") % 37).cast("double").alias("a"), (F.col("id") * 7 % 53).cast("double").alias("b"),
+        ((F.col("id") % 37 + F.col("id") * 7 % 53) > 40).cast("int").alias("label"),
+    )
+    fits = [
+        M.evaluate("forest", rows.repartition(n), rows.coalesce(1), ["a", "b"], numTrees=5, maxDepth=4) for n in (2, 8)
+    ]
+    a, b = (sorted((r["label"], tuple(r["probability"])) for r in f[1].collect()) for f in fits)
+    assert a == b
+    assert M.dealt(rows, 3).rdd.getNumPartitions() == 3 and M.dealt(rows, 3).count() == 600
+
+
+def test_an_experiment_keeps_its_model(spark, tmp_path):
+    rows = spark.range(400).select(
+        "id", (F.col("id") % 20).cast("double").alias("PER"), (F.col("id") % 20 + F.col("id") % 3).cast("double").alias("x"),
+        (F.col("id") % 20 * 2).cast("double").alias("PER_minmax"), (F.col("id") % 7).cast("double").alias("PER_game"),
+    )
+    out = experiment(rows, "logistic", target="PER", key="id")
+    assert set(out.features) == {"x", "PER_game"}
+    assert [r["feature"] for r in out.weights.collect()] == [*out.features, None]
+    new = spark.createDataFrame([(30.0, 1.0), (-5.0, 1.0)], "x double, PER_game double")
+    assert [r["prediction"] for r in out.score(new).orderBy(F.desc("x")).collect()] == [1.0, 0.0]
+    out.write(str(tmp_path / "out"))
+    again = PipelineModel.load(str(tmp_path / "out" / "model"))
+    assert again.transform(new).count() == 2
+    tree = experiment(rows, "tree", target="PER", key="id")
+    assert sum(r["weight"] for r in tree.weights.collect()) == pytest.approx(1.0)
+
+
+def test_log_loss_fails_on_a_label_without_a_score(spark):
+    df = spark.createDataFrame([(0, [0.5, 0.5]), (2, [0.5, 0.5])], "label int, probability array<double>")
+    with pytest.raises(Exception, match="no score for label 2"):
+        E.log_loss(df).collect()
+
+
+def test_a_nan_score_is_left_out_of_curves(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, float("nan")), (0, None)], "label int, score double")
+    assert E.auroc(df).first()[0] == 1.0 and E.roc_curve(df).count() == 3

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.feature import Bucketizer, MinMaxScaler, QuantileDiscretizer, StandardScaler, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -83,13 +84,55 @@ def test_many_labels_rank_in_order(spark):
 
 def test_one_hot_unknown_is_all_zero(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "w string")
-    got = {r["w"]: r["w_index_onehot"] for r in En.encode(df, ["w"]).collect()}
+    got = {r["w"]: r["w_index_onehot"] for r in En.encode(df, ["w"], sparse=False).collect()}
     assert got == {"a": [1.0, 0.0], "b": [0.0, 1.0], None: [0.0, 0.0]}
     indexed = En.string_index(df, ["w"])
-    sparse = {r["w"]: r["w_index_onehot"] for r in En.one_hot(indexed, ["w"], {"w": 2}, sparse=True).collect()}
+    sparse = {r["w"]: r["w_index_onehot"] for r in En.one_hot(indexed, ["w"], {"w": 2}).collect()}
     assert sparse["b"]["indices"] == [1] and sparse[None]["indices"] == [] and sparse["a"]["size"] == 2
 
 
+def test_one_hot_type_does_not_follow_the_labels(spark):
+    kinds = {
+        En.encode(spark.range(n).select(F.col("id").cast("string").alias("w")), ["w"]).dtypes[-1][1] for n in (2, 1500)
+    }
+    assert len(kinds) == 1
+
+
+@pytest.mark.parametrize("terms", [0, 1000])
+def test_a_null_makes_all_components_null(spark, monkeypatch, terms):
+    monkeypatch.setattr(St, "PROJECTION_TERMS", terms)
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, 5.0)], "a double, b double")
+    model = St.pca_fit(df, ["a", "b"])
+    out = St.pca_project(spark.createDataFrame([(None, 1.0)], "a double, b double"), ["a", "b"], model, 2).first()
+    assert out["PC1"] is None and out["PC2"] is None
+
+
+def test_a_column_constant_beside_another_is_kept(spark):
+    rng = random.Random(4)
+    for seed in range(6):
+        rows = [
+            (rng.gauss(0, 1) if i % 3 else None, 0.1 if i % 3 else 0.5 + seed, rng.choice([None, 0.1 * seed])) for i in range(300)
+        ]
+        df = spark.createDataFrame(rows, "a double, k double, c double")
+        corr = St.correlation_matrix(df).collect()
+        assert all(r["corr"] is None or r["corr"] == r["corr"] for r in corr)
+        frame = pd.DataFrame(rows, columns=["a", "k", "c"]).astype(float)
+        for r in corr:
+            want = frame[r["col_i"]].corr(frame[r["col_j"]])
+            if abs(want) > 1e-3:
+                assert r["corr"] == pytest.approx(abs(want), abs=1e-6)
+        assert St.redundant_columns(df) == []
+
+
+def test_centres_are_named_by_their_class(spark):
+    df = spark.createDataFrame([(3, [0.0]), (7, [9.0]), (None, [5.0])], "label int, v array<double>")
+    centers = Cl.class_centroids(df, "label", "v")
+    assert [label for label, _ in centers] == [3, 7]
+    assert [r["cluster"] for r in Cl.nearest_centroid(df.filter("label is not null"), centers, "v").collect()] == [3, 7]
+    with pytest.raises(ValueError):
+        Cl.class_centroids(df, "label", "v", max_classes=1)
+
+
 def test_equal_width_equals_bucketizer(spark, numbers):
     lo, hi = numbers.agg(F.min("a"), F.max("a")).first()
     edges = [-math.inf, *[lo + i * (hi - lo) / 5 for i in range(1, 5)], math.inf]
