@@ -19,7 +19,7 @@ from millrace.functions.columns import ref
 from millrace.llm.batches import fresh, map_texts
 
 #: Text bytes whose words are merged together.
-REPLAY_BYTES = 32 << 20
+REPLAY_BYTES = 16 << 20
 #: Words, and their bytes, that are kept from slice to slice; beyond, all are forgotten.
 KNOWN_WORDS, KNOWN_BYTES = 800_000, 16 << 20
 
