@@ -17,14 +17,18 @@ from millrace.llm.batches import fresh, map_texts
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes plaintext".split())
 RCDATA = frozenset("textarea title".split())
+#: Raw elements that browsers show as they stand, without character references.
+SHOWN_RAW = frozenset("xmp plaintext".split())
 HIDDEN = frozenset(
-    "head script style template noscript iframe noembed noframes object audio video canvas svg math datalist "
-    "select textarea title link meta base area param source track dialog".split()
+    "head script style template noscript iframe noembed noframes object audio video canvas datalist "
+    "textarea title link meta base area param source track dialog".split()
 )
+#: Parts of pictures and formulas that are not drawn, by the element they must be inside.
+UNDRAWN = {"desc": "svg", "defs": "svg", "annotation": "math", "annotation-xml": "math"}
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol p plaintext pre search section "
-    "summary table ul caption tbody thead tfoot tr optgroup option xmp".split()
+    "summary table ul caption tbody thead tfoot tr optgroup option xmp text".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr details listing xmp".split())
 ENDS_P = frozenset(
@@ -78,7 +82,7 @@ def attributes(text: str) -> dict[str, str]:
 
 
 def tokens(page: str):
-    """``(kind, name, rest)``: "text", "start" or "end"; comments and declarations are left out."""
+    """``(kind, name, rest)``: "text", "raw", "start" or "end"; comments and declarations are left out."""
     at, n = 0, len(page)
     while at < n:
         lt = page.find("<", at)
@@ -109,10 +113,13 @@ def tokens(page: str):
             continue
         yield "start", name, m[3] or ""
         if name in RAW or name in RCDATA:
-            stop = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
+            # Nothing ends plaintext.
+            stop = name != "plaintext" and re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
             body = page[at : stop.start() if stop else n]
             if name in RCDATA:
                 yield "text", body, ""
+            elif name in SHOWN_RAW:
+                yield "raw", body, ""
             at = stop.end() if stop else n
             yield "end", name, ""
 
@@ -215,14 +222,37 @@ def build(page: str) -> Node:
     for kind, name, rest in tokens(page):
         if kind == "text":
             tree.text(name)
+        elif kind == "raw":
+            tree.text(name.replace("&", "&amp;"))
         elif kind == "end":
             tree.end(name)
         else:
             svg = rest.rstrip().endswith("/") and (tree.held["svg"] or tree.held["math"])
-            tree.start(name, attributes(rest) if rest.strip(" /\t\n\r\f") else {}, svg or (rest.rstrip().endswith("/") and name in ("svg", "math")))
+            attrs = attributes(rest) if rest.strip(" /\t\n\r\f") else {}
+            if name in UNDRAWN and tree.held[UNDRAWN[name]]:
+                attrs["hidden"] = ""
+            tree.start(name, attrs, svg or (rest.rstrip().endswith("/") and name in ("svg", "math")))
     return tree.root
 
 
+def shown_options(select: Node) -> list[Node]:
+    """What a closed select shows: the last selected option, else the first; a list shows all."""
+    options, stack = [], [select]
+    while stack:
+        node = stack.pop()
+        if node is not select and not seen(node):
+            continue
+        if node.tag == "option":
+            options.append(node)
+        else:
+            stack += [x for x in reversed(node.children) if isinstance(x, Node)]
+    a = select.attrs
+    if "multiple" in a or (re.fullmatch("[0-9]{1,9}", a.get("size", "")) and int(a["size"]) > 1):
+        return options
+    chosen = [x for x in options if "selected" in x.attrs]
+    return (chosen or options[:1])[-1:]
+
+
 def seen(node: Node) -> bool:
     """Whether an element is laid out at all."""
     a = node.attrs
@@ -396,7 +426,7 @@ def render(root: Node, depth: int = 0) -> str:
         elif tag in ("blockquote", "dd"):
             page.indent.append("  ")
         pre += tag in PREFORMATTED
-        stack.append((child, iter(child.children), True))
+        stack.append((child, iter(shown_options(child) if tag == "select" else child.children), True))
     return page.text()
 
 
