@@ -62,6 +62,32 @@ TEMPLATES = [
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
 ]
 
+TEMPLATES += [
+    ("lgpl", "licensed under the gnu lesser general public license"),
+    ("agpl", "licensed under the gnu affero general public license"),
+]
+_NC, _SA = ("noncommercial", "non commercial"), ("sharealike", "share alike")
+_ND = ("noderivatives", "noderivs", "no derivatives", "no derivs")
+_TERMS = [("nc", x) for x in _NC] + [("sa", x) for x in _SA] + [("nd", x) for x in _ND]
+_TERMS += [("nc-sa", f"{x} {y}") for x in _NC for y in _SA] + [("nc-nd", f"{x} {y}") for x in _NC for y in _ND]
+TEMPLATES += [
+    (f"cc-by-{kind}", f"this work is licensed under a creative commons attribution {terms} 4 0 international license")
+    for kind, terms in _TERMS
+]
+
+# Words in a row that tell a label from its neighbours; a span must hold a
+# k-gram with one of those that its template has.
+DECIDING = {
+    "apache-2": ["version 2"],
+    "gpl": ["gnu general"],
+    "lgpl": ["lesser general"],
+    "agpl": ["affero general"],
+    "cc-by-nc": ["by nc"],
+    "cc-by-sa": ["by sa"],
+}
+for _kind, _terms in _TERMS:
+    DECIDING.setdefault(f"cc-by-{_kind}", []).append(" ".join(f"attribution {_terms}".split()[-2:]))
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -73,13 +99,17 @@ def template_grams(spark: SparkSession) -> DataFrame:
     """
     texts = [(label, text, True) for text, label in PHRASES.items()]
     texts += [(label, text, False) for label, text in TEMPLATES]
-    rows = [(-1, "", False, 1, 0, "", "", "")]
+    rows = [(-1, "", False, 1, 0, "", "", "", True)]
     for t, (label, text, base) in enumerate(texts):
         w = text.split()
         n = len(w) - GRAM + 1
-        rows += [(t, label, base, n, k, *w[k : k + GRAM]) for k in range(n)]
+        grams = [" ".join(w[k : k + GRAM]) for k in range(n)]
+        decide = [any(f" {x} " in f" {g} " for x in DECIDING.get(label, ())) for g in grams]
+        free = not any(decide)
+        rows += [(t, label, base, n, k, *w[k : k + GRAM], free or decide[k]) for k in range(n)]
     grams = spark.createDataFrame(
-        rows, "template int, label string, base boolean, grams int, place int, a string, b string, c string"
+        rows, "template int, label string, base boolean, grams int, place int, a string, b string, c string, "
+        "decides boolean"
     )
     return grams.withColumn("h", F.xxhash64("a", "b", "c"))
 
@@ -115,12 +145,14 @@ def votes(docs: DataFrame, key: str, text: str) -> DataFrame:
     met = grams.join(known, "h").filter("g.a = a and g.b = b and g.c = c")
     return met.groupBy(
         "__row", "doc_id", "template", "label", "base", "grams", (F.col("at") - F.col("place")).alias("diagonal")
-    ).agg(F.collect_set("place").alias("places"), F.min("at").alias("first"), F.max("at").alias("last"))
+    ).agg(F.collect_set("place").alias("places"), F.min("at").alias("first"), F.max("at").alias("last"),
+          F.max("decides").alias("decided"))
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """Neighbouring diagonals of ``votes`` merged: ``start``, ``words`` and ``cover``, the
-    share of the template's k-grams that the span holds."""
+    """Neighbouring diagonals of ``votes`` merged: ``start``, ``words``, ``decided`` (whether
+    the deciding words are there) and ``cover``, the share of the template's k-grams that
+    the span holds."""
     by = W.partitionBy("__row", "template").orderBy("diagonal")
     step = F.col("diagonal") - F.lag("diagonal").over(by)
     marked = found.withColumn("new", F.coalesce((step > SLACK).cast("int"), F.lit(1)))
@@ -128,17 +160,31 @@ def spans(found: DataFrame) -> DataFrame:
     merged = numbered.groupBy("__row", "template", "label", "grams", "span").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("held"),
         F.min("first").alias("start"), (F.max("last") - F.min("first") + GRAM).alias("words"),
+        F.max("decided").alias("decided"),
     )
     return merged.withColumn("cover", F.col("held") / F.col("grams"))
 
 
+def best(near: DataFrame) -> DataFrame:
+    """``near`` without spans that lie by half or more under one of another label with a larger share."""
+    spans_of = F.collect_list(F.struct("label", "start", "words", "cover")).over(W.partitionBy("__row"))
+    end = lambda s: s["start"] + s["words"]
+    mine = F.struct("label", "start", "words", "cover")
+    under = lambda s: (
+        (s["label"] != mine["label"]) & (s["cover"] > mine["cover"])
+        & (2 * (F.least(end(s), end(mine)) - F.greatest(s["start"], mine["start"])) >= F.least(s["words"], mine["words"]))
+    )
+    return near.withColumn("__all", spans_of).filter(~F.exists("__all", under)).drop("__all")
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, ``n_words``, ``n_base`` (places where a phrase of ``PHRASES`` stands),
     ``first_word``, ``last_word`` (smallest and largest start of these, from 0, else null),
     ``base_labels``, ``labels`` and ``score``.
 
     ``labels`` adds to the base labels those of templates of which a span holds at least
-    ``COVER`` of the k-grams, spread over at most twice the template's words; ``score`` is
+    ``COVER`` of the k-grams and its deciding words, spread over at most twice the template's
+    words; of spans of several labels at one place the best covered one counts. ``score`` is
     the largest such share, 1 where a phrase stands, 0 without any vote. Null and empty
     texts have no words, no labels and score 0; repeated rows give repeated results; an
     empty table gives none. Other columns are not looked at. The words of one text must fit
@@ -151,8 +197,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         "__row", "label", F.col("diagonal").cast("bigint").alias("start"), F.lit(1.0).alias("cover")
     )
     near = spans(found.filter("template >= 0 and not base")).filter(
-        (F.col("cover") >= COVER) & (F.col("words") <= 2 * (F.col("grams") + GRAM - 1))
+        F.col("decided") & (F.col("cover") >= COVER) & (F.col("words") <= 2 * (F.col("grams") + GRAM - 1))
     )
+    near = best(near)
     rows = reduce(
         DataFrame.unionByName,
         [
