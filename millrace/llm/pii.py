@@ -2,14 +2,15 @@
 
 A protected entity is a value found by pattern (an e-mail address, a card number). The
 information content of an entity is ``log2(N / lines with it)``; what a term tells about it is
-their pointwise mutual information over lines. A term whose share of the entity's
+their pointwise mutual information over lines; a line meets what stands in it and in the lines
+next to it. All words are terms, numbers and short ones too. A term whose share of the entity's
 information reaches a threshold discloses it, wherever the term stands.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Share of an entity's information from which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.8, 0.95
-#: Different lines in which a term must stand beside an entity, and its least length.
-SUPPORT, TERM_LENGTH = 3, 3
+#: Different lines in which a term must stand beside an entity.
+SUPPORT = 3
 #: Bits of the filter that preselects terms; fixed, so what is sent to tasks does not grow.
 FILTER_BITS = 1 << 23
 REMEMBERED = 500_000
@@ -105,34 +106,47 @@ def _line_terms(line: str, taken: list[tuple[int, int]]) -> set[bytes]:
     """Terms of a line outside the taken stretches."""
     for s, e in reversed(taken):
         line = line[:s] + " " * (e - s) + line[e:]
-    return {w for w in words(line.encode()) if len(w) >= TERM_LENGTH and not w.isdigit()}
+    return set(words(line.encode()))
 
 
 def meetings(rows: DataFrame) -> DataFrame:
-    """``(entity, line, term)`` for each line that holds an entity, repeated lines included;
-    an entity alone in a line has one row with a null term. Entity and line are hashes."""
+    """``(entity, line, term)`` for each line that holds an entity, repeated lines included:
+    one row with a null term, and one for each term of the line and of the lines next to it.
+    Entity and line are hashes; a term beside the entity has that of the line, another that
+    of the lines from the entity's to the one behind the term's, so that copies of one
+    block of lines are one."""
 
     def make():
+        def near_terms(lines, taken, k):
+            terms = {}
+            for step in (-1, 1, 0):
+                if 0 <= k + step < len(lines):
+                    block = lines[max(0, k + min(0, 2 * step)) : k + max(0, 2 * step) + 1]
+                    h = xxhash.xxh3_64_intdigest("\n".join(block).encode()) - (1 << 63)
+                    terms.update(dict.fromkeys(_line_terms(lines[k + step], taken.get(k + step, [])), h))
+            return terms
+
         def work(part, raw):
             entity, line, term = [], [], []
             for t in _decoded(raw):
                 found = base_spans(t)
                 if not found:
                     continue
-                at = 0
                 # A match may run over a line end nowhere: no pattern allows one.
-                for text in t.split("\n"):
-                    inside = [s for s in found if at <= s[0] < at + len(text)]
-                    if inside:
-                        taken = sorted({(s - at, e - at) for s, _, e, _ in inside})
-                        terms = sorted(_line_terms(text, taken)) or [None]
-                        h = xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
-                        for value in sorted({f"{k}:{v}" for _, k, _, v in inside}):
-                            e = xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
-                            entity += [e] * len(terms)
-                            line += [h] * len(terms)
-                            term += terms
-                    at += len(text) + 1
+                lines = t.split("\n")
+                starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
+                inside, taken = defaultdict(set), defaultdict(list)
+                for s, kind, e, value in found:
+                    k = int(np.searchsorted(starts, s, side="right")) - 1
+                    inside[k].add(f"{kind}:{value}")
+                    taken[k].append((s - int(starts[k]), e - int(starts[k])))
+                for k, values in inside.items():
+                    terms = near_terms(lines, taken, k)
+                    for value in sorted(values):
+                        e = xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
+                        entity += [e] * (len(terms) + 1)
+                        line += [0, *terms.values()]
+                        term += [None, *terms]
             return pa.RecordBatch.from_arrays(
                 [pa.array(entity, pa.int64()), pa.array(line, pa.int64()), pa.array(term, pa.binary())],
                 ["entity", "line", "term"],
@@ -188,7 +202,7 @@ class _Probe:
         for w in found:
             yes = known.get(w)
             if yes is None:
-                yes = known[w] = len(w) >= TERM_LENGTH and all(self.bits[p] for p in _places(w))
+                yes = known[w] = all(self.bits[p] for p in _places(w))
             if yes:
                 out.append(w)
         return out
@@ -222,9 +236,7 @@ def disclosing_terms(rows: DataFrame) -> DataFrame:
     """``(term, share)``: terms that disclose an entity, with the largest share of its
     information. The counts are over all lines of all texts."""
     met = materialize(meetings(rows), "meetings")
-    of_entity = met.select("entity", "line", "term").groupBy("entity", "line").agg(
-        (F.count("*") / F.count_distinct(F.coalesce("term", F.lit(b"")))).cast("bigint").alias("n")
-    ).groupBy("entity").agg(F.sum("n").alias("n_entity"))
+    of_entity = met.filter("term is null").groupBy("entity").agg(F.count("*").alias("n_entity"))
     pairs = materialize(
         met.filter("term is not null").groupBy("entity", "term")
         .agg(F.count_distinct("line").alias("different"), F.count("*").alias("n_both"))
@@ -237,7 +249,9 @@ def disclosing_terms(rows: DataFrame) -> DataFrame:
         return pairs.select("term", F.lit(0.0).alias("share")).limit(0)
     joined = pairs.join(of_entity, "entity").join(counts.filter("term is not null"), "term")
     information = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    mutual = F.log2(F.lit(float(total)) * F.col("n_both") / (F.col("n_entity") * F.col("n").cast("double")))
+    # A line between two of the entity's is next to both, but one line of evidence.
+    both = F.least("n_both", "n")
+    mutual = F.log2(F.lit(float(total)) * both / (F.col("n_entity") * F.col("n").cast("double")))
     share = F.when(information > 0, mutual / information).otherwise(F.lit(0.0))
     return joined.groupBy("term").agg(F.max(share).alias("share")).filter(F.col("share") >= GENERALISE)
 
