@@ -12,6 +12,7 @@ from millrace.llm import (
     exact_dedup,
     html_text,
     license_scan,
+    periodic,
     pii,
     quality_rules,
     simhash,
@@ -140,3 +141,32 @@ def op4(spark, sf_dir):
 @query("op6_html_text")
 def op6(spark, sf_dir):
     return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+def planted(docs):
+    """``documents`` of which a tenth, by the checksum of the id, ends in a period of its own."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    w = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    split = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), F.when(h % 10 == 0, w).alias("w"))
+    n = F.size("w")
+    start = split.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    rest = F.col("n") - F.col("a")
+    period = (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int")
+    unit = F.slice("w", F.col("a") + 1, F.col("p"))
+    copies = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    told = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), copies), " ")
+    return start.withColumn("p", period).select("doc_id", F.when(F.col("n") > 0, told).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    found = periodic.repeats(planted(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = periodic.strongest(F.col("runs"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
