@@ -10,11 +10,13 @@ from millrace.llm import (
     bpe,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     html_text,
     license_scan,
     periodic,
     pii,
     quality_rules,
+    secrets,
     simhash,
     suffix_dedup,
     warc,
@@ -170,3 +172,41 @@ def op11(spark, sf_dir):
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+               FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT a.vec_id AS anchor_id, a.label AS own, v.vec_id, v.label,
+                      CAST(list_dot_product(a.e, v.e) AS BIGINT) AS score
+               FROM v AS a JOIN v ON a.vec_id % 100 = 0),
+         p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+               FROM s WHERE label = own AND vec_id <> anchor_id
+               QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE label <> own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10""",
+)
+def op12(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), lambda key: key % 100 == 0)
+
+
+@query("op13_secret_scan")
+def op13(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in secrets.KINDS[:3]],
+        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(secrets.all_spans(F.col("base"), F.col("added"))).alias("spans"),
+    )
