@@ -14,6 +14,7 @@ from millrace.functions.columns import (
     ref,
 )
 from millrace.functions.scalars import normalize_key
+from millrace.operators.heavy import frequent_in_either
 from millrace.session import broadcast_small, materialize
 
 # Fixed value: the key that rows without a name end up with after cleaning.
@@ -31,13 +32,8 @@ def _match_key(key: str, placeholders: Sequence[str]) -> Column:
 def _hot_keys(a: DataFrame, b: DataFrame, hot_rows: int) -> DataFrame | None:
     """``(__k, __na, __nb)`` of every match key (null among them) with over ``hot_rows`` rows on
     either side, with its rows on both; None when there is no such key."""
-
-    def counts(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("__k").agg(F.count(F.lit(1)).alias(name))
-
-    both = counts(a, "__na").join(counts(b, "__nb"), "__k", "full").na.fill(0, ["__na", "__nb"])
-    hot = materialize(both.filter((F.col("__na") > hot_rows) | (F.col("__nb") > hot_rows)), "hot-keys")
-    return None if hot.isEmpty() else hot
+    found = frequent_in_either(a, b, "__k", hot_rows)
+    return None if found is None else found.withColumnsRenamed({"na": "__na", "nb": "__nb"})
 
 
 def _join(
@@ -142,8 +138,8 @@ def left_join(
 ) -> DataFrame:
     """Left outer join; null and placeholder keys match nothing.
 
-    The skew check reads the keys of both sides beforehand, so costly inputs
-    should be stored tables; ``hot_rows=None`` skips it.
+    The skew check reads the keys of both sides beforehand, without a shuffle of keys, so
+    costly inputs should be stored tables; ``hot_rows=None`` skips it.
     """
     return _join(left, right, key, "left", placeholder_keys, hot_rows)
 
