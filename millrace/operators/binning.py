@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
-from millrace.operators.distribution import exact_quantiles
+from millrace.operators.selection import quantiles
 
 # Fixed value: number of bins.
 BINS = 5
@@ -55,16 +55,15 @@ def equal_width_bins(df: DataFrame, cols: Sequence[str], bins: int = BINS) -> Da
 def fit_quantiles(
     df: DataFrame, cols: Sequence[str], bins: int = BINS, rel_error: float = 0.0
 ) -> dict[str, list[float]]:
-    """Distinct inner quantiles of every column; exact when ``rel_error`` is 0."""
+    """Distinct inner quantiles of every column; exact, for all columns together, when ``rel_error`` is 0."""
     shares = [k / bins for k in range(1, bins)]
     if rel_error > 0:
         found = df.approxQuantile([c for c in cols], shares, rel_error)
         return {c: sorted(set(values)) for c, values in zip(cols, found)}
-    edges = {}
-    for c in cols:
-        rows = exact_quantiles(df, c, shares, interpolate=False).collect()
-        edges[c] = sorted({float(r["value"]) for r in rows})
-    return edges
+    edges: dict[str, set[float]] = {c: set() for c in cols}
+    for r in quantiles(df, cols, shares, interpolate=False).collect():
+        edges[r["column"]].add(float(r["value"]))
+    return {c: sorted(found) for c, found in edges.items()}
 
 
 def quantile_bins(

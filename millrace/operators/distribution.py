@@ -1,8 +1,7 @@
 """Histograms, density curves, exact quantiles and box summaries.
 
-Quantiles and running totals sort no group as a whole. Values are cut into
-ranges of similar size, and each range is sorted on its own. For quantiles only
-the ranges that hold a wanted value leave the task they were read in.
+Running totals sort no group as a whole: values are cut into ranges of similar
+size, and each range is sorted on its own. Quantiles are selected, not sorted for.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
+from millrace.operators.selection import quantiles
 from millrace.session import broadcast_small
 
 # Number of value ranges. Their cut points come from a sketch with an error of a quarter range.
@@ -142,70 +142,15 @@ def _values(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame,
-    col: str,
-    shares: Sequence[float],
-    by: Sequence[str] = (),
-    interpolate: bool = True,
-    ranges: int = RANGES,
-) -> DataFrame:
-    """``(by..., share, value)``: exact quantiles per group.
+    df: DataFrame, col: str, shares: Sequence[float], by: Sequence[str] = (), interpolate: bool = True,
+    ranges: int | None = None,
+) -> DataFrame:
+    """``(by..., share, value)``: exact quantiles per group, see ``selection.quantiles``.
 
     ``interpolate`` mixes the two neighbouring values linearly; otherwise the
-    smallest value that covers the share is taken.
+    smallest value that covers the share is taken. ``ranges`` is the size of a sketch.
     """
-    by = list(by)
-    keys = [*by, "__range"]
-    values = _values(df, col, by)
-    cut = with_range(values, "v", value_ranges(values, "v", ranges))
-    # at most RANGES rows per group
-    groups = Window.partitionBy(*[ref(b) for b in by])
-    before = groups.orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = (
-        cut.groupBy(*[ref(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("in_range"))
-        .withColumns({"to_here": F.sum("in_range").over(before), "n": F.sum("in_range").over(groups)})
-    )
-    share = F.explode(F.array(*[F.lit(float(s)) for s in shares]))
-    if interpolate:
-        exact = F.col("share") * (F.col("n") - 1)
-        picks = F.array(F.floor(exact), F.ceil(exact))
-        weights = exact - F.floor(exact)
-    else:
-        first = F.greatest(F.ceil(F.col("share") * F.col("n")) - 1, F.lit(0))
-        picks = F.array(first)
-        weights = F.lit(0.0)
-    wanted = (
-        totals.withColumn("share", share)
-        .withColumns({"weight": weights, "pick": F.explode(picks)})
-        .filter("pick >= to_here - in_range and pick < to_here")
-        .select(
-            *[ref(k) for k in keys], "share", "weight", "pick",
-            (F.col("to_here") - F.col("in_range")).alias("skip"),
-        )
-    )
-    theirs = [f"__w{i}" for i in range(len(keys))]
-    wanted = broadcast_small(
-        wanted.select(*[ref(k).alias(w) for k, w in zip(keys, theirs)], "share", "weight", "pick", "skip")
-    )
-    few = (
-        cut.join(wanted, _null_safe(keys, theirs), "left_semi")
-        .groupBy(*[ref(k) for k in keys], "v")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    within = (
-        Window.partitionBy(*[ref(k) for k in keys])
-        .orderBy("v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    placed = few.withColumn("upto", F.sum("c").over(within))
-    hit = placed.join(wanted, _null_safe(keys, theirs)).filter(
-        (F.col("pick") >= F.col("skip") + F.col("upto") - F.col("c"))
-        & (F.col("pick") < F.col("skip") + F.col("upto"))
-    )
-    low, high = F.min_by("v", "pick"), F.max_by("v", "pick")
-    value = low + (high - low) * F.first("weight") if interpolate else low
-    return hit.groupBy(*[ref(b) for b in by], "share").agg(value.alias("value"))
+    return quantiles(df, [col], shares, by, interpolate, ranges and max(8, ranges)).drop("column")
 
 
 def box_summary(df: DataFrame, col: str, by: str, reach: float = 1.5) -> DataFrame:
