@@ -1,11 +1,19 @@
 """Scaling, encoding, binning, clustering."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from millrace.catalog.q_cleaning import histogram_sql
 from millrace.catalog.registry import LINES_GAPS, ORDERS_GAPS, lines_gaps, orders_gaps, query, rd, rounded, table
 from millrace.operators.binning import equal_width_bins, quantile_bins
-from millrace.operators.clustering import class_centroids, kmeans_assign, kmeans_elbow, nearest_centroid
+from millrace.operators.clustering import (
+    assign_to,
+    class_centroids,
+    kmeans_centers,
+    kmeans_elbow,
+    nearest_centroid,
+)
 from millrace.operators.encoding import encode, string_index
 from millrace.operators.labeling import label_from_bin
 from millrace.operators.scaling import (
@@ -197,26 +205,64 @@ def nearest(spark, d):
 _CLUSTER_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query("kmeans_elbow", "SELECT unnest([3, 4, 5, 6, 7]) AS k, true AS falls")
+def squares(cols, center):
+    """Squared distance of a row to a centre, written out."""
+    return reduce(lambda x, y: x + y, [(F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, center)])
+
+
+def means_by_hand(rows, cols, centers):
+    """For centres given by a fit: the cost, and the rows and mean of what is next to each, from
+    distances compared one by one."""
+    far = [squares(cols, c) for c in centers]
+    least = F.least(*far)
+    number = reduce(lambda w, i: w.when(far[i] == least, i), range(1, len(far)), F.when(far[0] == least, 0))
+    near = rows.select(least.alias("d"), number.alias("i"), *cols)
+    found = near.groupBy("i").agg(F.sum("d").alias("d"), F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols])
+    return {r["i"]: r for r in found.collect()}
+
+
+@query("kmeans_elbow", "SELECT unnest([3, 4, 5, 6, 7]) AS k, true AS falls, true AS cost_holds")
 def elbow(spark, d):
-    costs = sorted(map(tuple, kmeans_elbow(table(spark, d, "lineitem"), _CLUSTER_COLS).collect()))
-    falls = [(k, c > 0 and (i == 0 or c < costs[i - 1][1])) for i, (k, c) in enumerate(costs)]
-    return spark.createDataFrame(falls, "k int, falls boolean")
+    """The costs fall, and are those that follow from the returned centres."""
+    rows = table(spark, d, "lineitem").select(*_CLUSTER_COLS)
+    out, last = [], float("inf")
+    for k, cost, centers in sorted(map(tuple, kmeans_elbow(rows, _CLUSTER_COLS).collect())):
+        again = sum(r["d"] for r in means_by_hand(rows, _CLUSTER_COLS, centers).values())
+        out.append((k, 0 < cost < last, abs(again - cost) <= 1e-9 * cost))
+        last = cost
+    return spark.createDataFrame(out, "k int, falls boolean, cost_holds boolean")
 
 
-@query("kmeans_assign", f"SELECT count(*) AS n, CAST(4 AS BIGINT) AS clusters, {rd('100.0')} AS pct FROM lineitem")
+@query(
+    "kmeans_assign",
+    f"SELECT count(*) AS n, CAST(4 AS BIGINT) AS clusters, {rd('100.0')} AS pct, CAST(0 AS BIGINT) AS misplaced, "
+    "true AS centers_are_means FROM lineitem",
+)
 def clusters(spark, d):
+    """Every row is next to its centre, and every centre is the mean of its rows, but for the last move."""
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *_CLUSTER_COLS)
-    sizes = group_sizes(kmeans_assign(rows, _CLUSTER_COLS), "cluster")
-    return sizes.agg(F.sum("n").alias("n"), F.count("cluster").alias("clusters"), rounded(F.sum("pct")).alias("pct"))
+    centers = kmeans_centers(rows, _CLUSTER_COLS, max_iter=200)
+    assigned = assign_to(rows, _CLUSTER_COLS, centers)
+    sizes = group_sizes(assigned, "cluster")
+    own = reduce(lambda w, i: w.when(F.col("cluster") == i, squares(_CLUSTER_COLS, centers[i])), range(1, len(centers)), F.when(F.col("cluster") == 0, squares(_CLUSTER_COLS, centers[0])))
+    misplaced = assigned.filter(own > F.least(*[squares(_CLUSTER_COLS, c) for c in centers]) * (1 + 1e-12)).count()
+    by_hand = means_by_hand(rows, _CLUSTER_COLS, centers)
+    settled = all(abs(by_hand[i][c] - v) <= 1e-3 for i, center in enumerate(centers) for c, v in zip(_CLUSTER_COLS, center))
+    return sizes.agg(
+        F.sum("n").alias("n"), F.count("cluster").alias("clusters"), rounded(F.sum("pct")).alias("pct"),
+        F.lit(misplaced).cast("bigint").alias("misplaced"), F.lit(settled).alias("centers_are_means"),
+    )
 
 
-@query("cluster_scatter", "SELECT o_orderkey, o_totalprice, o_custkey, true AS clustered FROM orders")
+@query("cluster_scatter", "SELECT o_orderkey, o_totalprice, o_custkey, true AS nearest FROM orders")
 def scatter(spark, d):
-    """Two features and the cluster of all rows."""
+    """Two features of all rows, and whether the cluster is that of the nearest centre."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    assigned = kmeans_assign(orders, ["o_totalprice", "o_custkey"])
-    return assigned.select("o_orderkey", "o_totalprice", "o_custkey", F.col("cluster").between(0, 3).alias("clustered"))
+    cols = ["o_totalprice", "o_custkey"]
+    centers = kmeans_centers(orders, cols)
+    far = F.array(*[squares(cols, c) for c in centers])
+    nearest = F.get(far, F.col("cluster")) <= F.array_min(far) * (1 + 1e-12)
+    return assign_to(orders, cols, centers).select("o_orderkey", "o_totalprice", "o_custkey", nearest.alias("nearest"))
 
 
 _SOURCES = """SELECT source, row_number() OVER (ORDER BY n DESC, source) - 1 AS i

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
@@ -15,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
-from millrace.operators.scaling import assemble
+from millrace.operators.joint_kmeans import kmeans_joint, nearest_number
 
 # Cluster counts tried, cluster count used, passes, seed.
 ELBOW_KS = (3, 4, 5, 6, 7)
@@ -35,22 +33,12 @@ def kmeans_fit(
 
 
 def kmeans_elbow(
-    df: DataFrame, cols: Sequence[str], ks: Sequence[int] = ELBOW_KS, seed: int = SEED, parallel: int = 3
+    df: DataFrame, cols: Sequence[str], ks: Sequence[int] = ELBOW_KS, seed: int = SEED
 ) -> DataFrame:
-    """``(k, cost)`` for every cluster count, a few fits at a time.
-
-    Each fit keeps its own copy of the vectors in the form it iterates over;
-    caching the DataFrame instead would decode every row anew in each pass.
-    """
-    vectors = assemble(df, cols, "features", "skip").select("features")
-
-    @inheritable_thread_target(df.sparkSession)
-    def fit(k: int) -> tuple[int, float]:
-        return k, float(kmeans_fit(vectors, k, seed=seed).summary.trainingCost)
-
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        rows = list(pool.map(fit, ks))
-    return df.sparkSession.createDataFrame(rows, "k int, cost double")
+    """``(k, cost, centers)`` for every cluster count; all counts are fitted together."""
+    fits = kmeans_joint(df, cols, ks, MAX_ITER, seed)
+    rows = [(k, f.cost, f.centers.tolist()) for k, f in fits.items()]
+    return df.sparkSession.createDataFrame(rows, "k int, cost double, centers array<array<double>>")
 
 
 def kmeans_assign(
@@ -61,10 +49,30 @@ def kmeans_assign(
     seed: int = SEED,
     out: str = "cluster",
 ) -> DataFrame:
-    """Add the cluster number of each row; rows with a missing feature are dropped."""
-    assembled = assemble(df, cols, "__features", "skip")
-    model = kmeans_fit(assembled.select("__features"), k, max_iter, seed, "__features")
-    return model.setPredictionCol(out).transform(assembled).drop("__features")
+    """Add the cluster number of each row; rows with a missing or non-finite feature are dropped.
+
+    The table is read for the fit and for the result; costly inputs should be stored.
+    """
+    return assign_to(df, cols, kmeans_centers(df, cols, k, max_iter, seed), out)
+
+
+def kmeans_centers(
+    df: DataFrame, cols: Sequence[str], k: int = CLUSTERS, max_iter: int = MAX_ITER, seed: int = SEED
+) -> list[list[float]]:
+    """The fitted centres; none for a table without complete rows."""
+    fits = kmeans_joint(df, cols, (k,), max_iter, seed)
+    return fits[k].centers.tolist() if fits else []
+
+
+def assign_to(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], out: str = "cluster") -> DataFrame:
+    """Add the number of the nearest centre; rows with a missing or non-finite feature are dropped."""
+    finite = F.lit(True)
+    for c in cols:
+        x = ref(c).cast("double")
+        finite = finite & x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    rows = df.filter(finite)
+    number = nearest_number(cols, np.array(centers)) if len(centers) else F.lit(None).cast("int")
+    return rows.withColumn(out, number)
 
 
 def class_centroids(
