@@ -1,5 +1,8 @@
 """Sources, sinks, profiles and column selection."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import CUSTOMER_GAPS, ORDERS_GAPS, customer_gaps, orders_gaps, query, table
@@ -13,7 +16,8 @@ from millrace.functions.columns import (
     ref,
 )
 from millrace.session import scratch_path
-from millrace.sources.files import read_files
+from millrace.sources.files import list_labeled_files
+from millrace.sources.listing import list_files
 from millrace.sources.tables import preview, profile_change, read_table, write_table
 
 
@@ -67,18 +71,35 @@ def numeric_projection(spark, d):
     return orders.select(*[ref(c) for c in numeric_columns(orders)])
 
 
-# Every table's file, read whole: as many bytes as its listing says, with the format's mark at both ends.
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+# Every table's files by their names and lengths, no content, beside the rows that Spark reads from them.
 @query(
     "file_inventory",
-    "SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents',"
-    " 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) || '.parquet' AS file, true AS whole",
+    " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n, true AS complete FROM {t}" for t in TABLES),
 )
 def file_inventory(spark, d):
-    content = F.col("content")
-    ends = [F.substring(content, F.lit(1), F.lit(4)), F.substring(content, F.length(content) - 3, F.lit(4))]
-    whole = (F.length(content) == F.col("length")) & (ends[0] == F.lit(b"PAR1")) & (ends[1] == F.lit(b"PAR1"))
-    files = read_files(spark, d, "*.parquet")
-    return files.select(F.regexp_replace("path", "^.*/", "").alias("file"), whole.alias("whole"))
+    of = lambda path: F.regexp_extract(path, r"/([a-z]+)\.parquet(?:/[^/]*)?$", 1)
+    files = list_files(spark, d, "*.parquet").groupBy(of(F.col("path")).alias("name"))
+    listed = files.agg(F.count_if(F.col("length") > 0).alias("files"))
+    read = [
+        table(spark, d, t).groupBy(F.input_file_name().alias("path")).agg(F.count(F.lit(1)).alias("n")) for t in TABLES
+    ]
+    rows = reduce(DataFrame.unionByName, read).groupBy(of(F.col("path")).alias("name"))
+    counted = rows.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("read"))
+    return listed.join(counted, "name").select("name", "n", (F.col("files") == F.col("read")).alias("complete"))
+
+
+@query("labeled_files", f"SELECT unnest({TABLES}) AS name, true AS in_folder")
+def labeled_files(spark, d):
+    """The files of one folder, which is their label."""
+    root, folder = d.rstrip("/").rsplit("/", 1)
+    found = list_labeled_files(spark, root, [folder], [".parquet"])
+    name = F.regexp_extract("path", r"/([a-z]+)\.parquet$", 1)
+    return found.select(name.alias("name"), (F.col("label_str") == folder).alias("in_folder"))
 
 
 @query(
