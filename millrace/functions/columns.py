@@ -19,6 +19,14 @@ def ref(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer form of it that begins no column of ``df``."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name += "_"
+    return name
+
+
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = (), decimals: bool = False) -> list[str]:
     """Names of the numeric columns; decimals only on request."""
     skip = set(exclude)

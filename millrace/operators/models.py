@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import ref
+from millrace.functions.columns import fresh_name, ref
 from millrace.operators.evaluation import areas_from, score_points, weighted_metrics
 from millrace.session import materialize
 
@@ -104,11 +104,22 @@ def positive_score(scored: DataFrame) -> Column:
 def dealt(rows: DataFrame, parts: int = TRAIN_PARTS) -> DataFrame:
     """Training rows in ``parts`` parts by their content, each in a fixed order.
 
-    The same rows give the same parts on any cluster and from any storage; set
-    ``parts`` to the cores of the cluster for large tables. Equal rows share a part.
+    The same rows give the same parts on any cluster and from any storage; set ``parts`` to
+    the cores of the cluster for large tables. Equal rows are counted, not gathered: copy
+    number ``j`` of a row goes to the part ``j`` behind that of its hash, so no part gets
+    more of the copies than others, whatever their number.
     """
     columns = [ref(c) for c in rows.columns]
-    return rows.repartition(parts, *columns).sortWithinPartitions(*columns)
+    n, first = fresh_name(rows, "__n"), fresh_name(rows, "__part")
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(n))
+    # Of c copies a part gets c / parts, rounded up for the first c % parts of them.
+    turn = F.explode(F.sequence(F.lit(0), F.least(ref(n), F.lit(parts)).cast("int") - 1))
+    shares = counted.select(*columns, ref(n), F.pmod(F.xxhash64(*columns), F.lit(parts)).alias(first), turn.alias(f"{first}j"))
+    own = F.floor((ref(n) - ref(f"{first}j") - 1) / parts) + 1
+    placed = shares.select(*columns, own.cast("int").alias(n), ((ref(first) + ref(f"{first}j")) % parts).cast("int").alias(first))
+    at_home = placed.repartitionById(parts, ref(first))
+    copies = at_home.select(*columns, F.explode(F.sequence(F.lit(1), ref(n))).alias(n)).select(*columns)
+    return copies.sortWithinPartitions(*columns)
 
 
 def evaluate(

@@ -216,6 +216,21 @@ def test_a_forest_does_not_depend_on_the_storage(spark):
     assert M.dealt(rows, 3).rdd.getNumPartitions() == 3 and M.dealt(rows, 3).count() == 600
 
 
+@pytest.mark.parametrize("parts", [3, 8])
+def test_copies_are_dealt_evenly(spark, parts):
+    hot = [(1.0, 2.0, 1)] * 4_000
+    rows = hot + [(float(i), float(i % 7), i % 2) for i in range(4_000)] + [(None, float("nan"), 0)] * 5
+    df = spark.createDataFrame(rows, "a double, b double, label int").repartition(5)
+    out = M.dealt(df, parts).withColumn("part", F.spark_partition_id())
+    sizes = [r["count"] for r in out.groupBy("part").count().collect()]
+    assert len(sizes) == parts and sum(sizes) == len(rows) and max(sizes) <= 1.2 * len(rows) / parts
+    of_hot = [r["count"] for r in out.filter("a = 1 and b = 2").groupBy("part").count().collect()]
+    assert max(of_hot) - min(of_hot) <= 1
+    again = M.dealt(df.repartition(2), parts).withColumn("part", F.spark_partition_id())
+    held = lambda d: sorted(map(str, d.collect()))
+    assert held(out) == held(again) and M.dealt(df.limit(0), parts).count() == 0
+
+
 def test_an_experiment_keeps_its_model(spark, tmp_path):
     rows = spark.range(400).select(
         "id", (F.col("id") % 20).cast("double").alias("PER"), (F.col("id") % 20 + F.col("id") % 3).cast("double").alias("x"),
