@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
-from millrace.llm.batches import fresh, map_texts, tagged, words
+from millrace.llm.batches import fresh, map_texts, slices, tagged, words
 from millrace.session import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -37,10 +37,16 @@ SUPPORT = 3
 #: Bits of the filter that preselects terms; fixed, so what is sent to tasks does not grow.
 FILTER_BITS = 1 << 23
 REMEMBERED = 500_000
+#: Rows that a task lays out before it sends them.
+AT_ONCE = 200_000
 
 _DIGITS = re.compile(r"[^0-9]")
 _TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _MAIL_TOKEN = re.compile(r"[A-Za-z0-9._%+@-]+")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# Numbers with single dots between: what lies between two dots or more is another run.
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_NUMBER = re.compile(r"[0-9]+")
 _LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -52,19 +58,47 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> list[tuple[int, str, int, str]]:
+    """Matches of ``EMAIL``, each run of its characters cut at the at signs: no part of a run is
+    looked at twice, however long it is."""
+    found = []
+    for run in _MAIL_TOKEN.finditer(text):
+        at, free = text.find("@", run.start(), run.end()), run.start()
+        while at >= 0:
+            after = text.find("@", at + 1, run.end())
+            stop = after if after >= 0 else run.end()
+            domain = _DOMAIN.match(text, at + 1, stop) if free < at else None
+            if domain:
+                found.append((free, "email", domain.end(), text[free : domain.end()].translate(_LOW)))
+            free = domain.end() if domain else at + 1
+            at = after
+    return found
+
+
+def _addresses(text: str) -> list[tuple[int, str, int, str]]:
+    """Matches of ``IP``: of the numbers that stand in a row with a dot between, four and four."""
+    found = []
+    for run in _DOTTED.finditer(text):
+        numbers = [(m.start(), m.end()) for m in _NUMBER.finditer(text, run.start(), run.end())]
+        for k in range(0, len(numbers) - 3, 4):
+            four = numbers[k : k + 4]
+            if all(_at_most_255(text[s:e]) for s, e in four):
+                start, end = four[0][0], four[3][1]
+                found.append((start, "ip", end, text[start:end]))
+    return found
+
+
+def _at_most_255(number: str) -> bool:
+    digits = number.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[int, str, int, str]]:
     """``(start, kind, end, value)`` of all base matches, by start, then by kind."""
-    found = []
-    if "@" in text:
-        # A match lies within one run of the characters it may hold.
-        for run in _MAIL_TOKEN.finditer(text):
-            if "@" in run.group():
-                for m in EMAIL.finditer(text, run.start(), run.end()):
-                    found.append((m.start(), "email", m.end(), m.group().translate(_LOW)))
+    found = _emails(text) if "@" in text else []
     if any(d in text for d in "0123456789"):
-        for m in IP.finditer(text):
-            if all(len(x) <= 1000 and int(x) <= 255 for x in m.group().split(".")):
-                found.append((m.start(), "ip", m.end(), m.group()))
+        if "." in text:
+            found += _addresses(text)
         for m in CARD.finditer(text):
             digits = _DIGITS.sub("", m.group())
             if 14 <= len(digits) <= 19 and luhn(digits):
@@ -82,24 +116,59 @@ def _decoded(raw: list[bytes]) -> list[str]:
     return [t.decode("utf-8", "replace") for t in raw]
 
 
+def _lines_of(text: str, found) -> tuple[list[str], dict[int, set[str]], dict[int, list[tuple[int, int]]]]:
+    """The lines of a text, the entities in each, and the stretches that matches take there."""
+    # A match may run over a line end nowhere: no pattern allows one.
+    lines = text.split("\n")
+    starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
+    inside, taken = defaultdict(set), defaultdict(list)
+    for s, kind, e, value in found:
+        k = int(np.searchsorted(starts, s, side="right")) - 1
+        inside[k].add(f"{kind}:{value}")
+        taken[k].append((s - int(starts[k]), e - int(starts[k])))
+    return lines, inside, taken
+
+
+def _hash(value: str | bytes) -> int:
+    raw = value.encode() if isinstance(value, str) else value
+    return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
+
+
 def find_base(rows: DataFrame) -> DataFrame:
-    """``__row``, ``doc_id``, ``base``: the spans as structs; ``rows`` is a ``tagged`` table."""
+    """``__row``, ``doc_id``, ``base``: the spans as structs, and ``met``: for each line with an
+    entity, the hashes of the entity and of the five lines around, which are all that a term's
+    evidence there is made of; ``rows`` is a ``tagged`` table."""
 
     def make():
         kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
+        pair = pa.list_(pa.struct([("entity", pa.int64()), ("block", pa.int64())]))
+
+        def met(text, found):
+            if not found:
+                return []
+            lines, inside, _ = _lines_of(text, found)
+            out = []
+            for k, values in inside.items():
+                block = _hash("\n".join(lines[max(0, k - 2) : k + 3]))
+                out += [{"entity": _hash(v), "block": block} for v in values]
+            return out
 
         def work(part, raw):
-            spans = [
-                [{"start": s, "kind": k, "end": e} for s, k, e, _ in base_spans(t)] for t in _decoded(raw)
-            ]
+            texts = _decoded(raw)
+            found = [base_spans(t) for t in texts]
+            spans = [[{"start": s, "kind": k, "end": e} for s, k, e, _ in f] for f in found]
             return pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(spans, kind)], ["__row", "doc_id", "base"]
+                [part.column(0), part.column(1), pa.array(spans, kind), pa.array(list(map(met, texts, found)), pair)],
+                ["__row", "doc_id", "base", "met"],
             )
 
         return work
 
     key = rows.schema["doc_id"].dataType.simpleString()
-    return map_texts(rows, make, f"__row bigint, doc_id {key}, base array<struct<start:int,kind:string,end:int>>")
+    return map_texts(
+        rows, make,
+        f"__row bigint, doc_id {key}, base array<struct<start:int,kind:string,end:int>>, met array<struct<entity:bigint,block:bigint>>",
+    )
 
 
 def _line_terms(line: str, taken: list[tuple[int, int]]) -> set[bytes]:
@@ -109,52 +178,62 @@ def _line_terms(line: str, taken: list[tuple[int, int]]) -> set[bytes]:
     return set(words(line.encode()))
 
 
-def meetings(rows: DataFrame) -> DataFrame:
-    """``(entity, line, term)`` for each line that holds an entity, repeated lines included:
-    one row with a null term, and one for each term of the line and of the lines next to it.
-    Entity and line are hashes; a term beside the entity has that of the line, another that
-    of the lines from the entity's to the one behind the term's, so that copies of one
-    block of lines are one."""
+def meetings(rows: DataFrame, bits: bytes) -> DataFrame:
+    """``(entity, line, term)`` for each line that holds an entity of the filter ``bits``,
+    repeated lines included: one row with a null term, and one for each term of the line and of
+    the lines next to it. Entity and line are hashes; a term beside the entity has that of the
+    line, another that of the lines from the entity's to the one behind the term's, so that
+    copies of one block of lines are one."""
+    names = ["entity", "line", "term"]
 
-    def make():
-        def near_terms(lines, taken, k):
-            terms = {}
-            for step in (-1, 1, 0):
-                if 0 <= k + step < len(lines):
-                    block = lines[max(0, k + min(0, 2 * step)) : k + max(0, 2 * step) + 1]
-                    h = xxhash.xxh3_64_intdigest("\n".join(block).encode()) - (1 << 63)
-                    terms.update(dict.fromkeys(_line_terms(lines[k + step], taken.get(k + step, [])), h))
-            return terms
+    def near_terms(lines, taken, k):
+        terms = {}
+        for step in (-1, 1, 0):
+            if 0 <= k + step < len(lines):
+                block = lines[max(0, k + min(0, 2 * step)) : k + max(0, 2 * step) + 1]
+                terms.update(dict.fromkeys(_line_terms(lines[k + step], taken.get(k + step, [])), _hash("\n".join(block))))
+        return terms
 
-        def work(part, raw):
-            entity, line, term = [], [], []
-            for t in _decoded(raw):
-                found = base_spans(t)
-                if not found:
-                    continue
-                # A match may run over a line end nowhere: no pattern allows one.
-                lines = t.split("\n")
-                starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
-                inside, taken = defaultdict(set), defaultdict(list)
-                for s, kind, e, value in found:
-                    k = int(np.searchsorted(starts, s, side="right")) - 1
-                    inside[k].add(f"{kind}:{value}")
-                    taken[k].append((s - int(starts[k]), e - int(starts[k])))
-                for k, values in inside.items():
-                    terms = near_terms(lines, taken, k)
-                    for value in sorted(values):
-                        e = xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
-                        entity += [e] * (len(terms) + 1)
-                        line += [0, *terms.values()]
-                        term += [None, *terms]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(entity, pa.int64()), pa.array(line, pa.int64()), pa.array(term, pa.binary())],
-                ["entity", "line", "term"],
-            )
+    def run(batches):
+        probe = _Probe(bits)
+        for batch in batches:
+            for _, raw in slices(batch, "text"):
+                entity, line, term, held = [], [], [], 0
+                for t in _decoded(raw):
+                    found = base_spans(t)
+                    if not found:
+                        continue
+                    lines, inside, taken = _lines_of(t, found)
+                    for k, values in inside.items():
+                        known = sorted(h for h in map(_hash, values) if probe((_key(h),)))
+                        if not known:
+                            continue
+                        terms = near_terms(lines, taken, k)
+                        of, by = pa.array([None, *terms], pa.binary()), np.array([0, *terms.values()], np.int64)
+                        for h in known:
+                            entity.append(np.full(len(by), h))
+                            line.append(by)
+                            term.append(of)
+                            held += len(by)
+                            # A line with many of both is sent in pieces, never held as a whole.
+                            if held > AT_ONCE:
+                                yield _laid(names, entity, line, term)
+                                entity, line, term, held = [], [], [], 0
+                if held:
+                    yield _laid(names, entity, line, term)
+
+    return rows.mapInArrow(run, "entity bigint, line bigint, term binary")
+
+
+def _laid(names, entity, line, term) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(entity)), pa.array(np.concatenate(line)), pa.concat_arrays(term)], names
+    )
 
-        return work
 
-    return map_texts(rows, make, "entity bigint, line bigint, term binary")
+def _key(entity: int) -> bytes:
+    """An entity's hash as a term of a filter."""
+    return entity.to_bytes(8, "big", signed=True)
 
 
 def _places(term: bytes) -> tuple[int, int, int]:
@@ -210,32 +289,44 @@ class _Probe:
 
 def line_counts(rows: DataFrame, bits: bytes) -> DataFrame:
     """``(term, n)``: lines with each term that passes the filter, and under a null term the
-    number of all lines; summed up within each slice of texts."""
-
-    def make():
-        probe = _Probe(bits)
+    number of all lines; summed up within each task, as long as the terms are not too many."""
 
-        def work(part, raw):
-            counts: Counter = Counter()
-            lines = 0
-            for t in raw:
-                for text in t.split(b"\n"):
-                    lines += 1
-                    counts.update(set(probe(words(text))))
-            terms = [None, *counts]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.binary()), pa.array([lines, *counts.values()], pa.int64())], ["term", "n"]
-            )
+    def told(counts, lines):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([None, *counts], pa.binary()), pa.array([lines, *counts.values()], pa.int64())], ["term", "n"]
+        )
 
-        return work
+    def run(batches):
+        probe, counts, lines = _Probe(bits), Counter(), 0
+        for batch in batches:
+            for _, raw in slices(batch, "text"):
+                for t in raw:
+                    for text in t.split(b"\n"):
+                        lines += 1
+                        counts.update(set(probe(words(text))))
+                if len(counts) > REMEMBERED:
+                    yield told(counts, lines)
+                    counts, lines = Counter(), 0
+        yield told(counts, lines)
 
-    return map_texts(rows, make, "term binary, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(run, "term binary, n bigint")
+    return counted.groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def disclosing_terms(rows: DataFrame) -> DataFrame:
+def disclosing_terms(rows: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """``(term, share)``: terms that disclose an entity, with the largest share of its
-    information. The counts are over all lines of all texts."""
-    met = materialize(meetings(rows), "meetings")
+    information. The counts are over all lines of all texts. ``base`` is the result of
+    ``find_base``, which is asked anew if it is not given.
+
+    An entity that stands in fewer than ``SUPPORT`` different blocks of lines can have no such
+    term, so its lines are not laid out.
+    """
+    if base is None:
+        base = find_base(rows.select(F.lit(0).cast("bigint").alias("__row"), F.lit(0).alias("doc_id"), "text"))
+    seen = base.select(F.explode("met").alias("m")).select("m.entity", "m.block").distinct()
+    often = seen.groupBy("entity").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT)
+    key = F.unhex(F.lpad(F.hex("entity"), 16, "0"))
+    met = materialize(meetings(rows, term_filter(often.select(key.alias("term")))), "meetings")
     of_entity = met.filter("term is null").groupBy("entity").agg(F.count("*").alias("n_entity"))
     pairs = materialize(
         met.filter("term is not null").groupBy("entity", "term")
@@ -299,7 +390,7 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     """
     rows = tagged(docs, key, text).toDF("__row", "doc_id", "text")
     base = materialize(find_base(rows), "base-spans")
-    terms = materialize(disclosing_terms(rows.select("__row", "text")), "disclosing-terms")
+    terms = materialize(disclosing_terms(rows.select("__row", "text"), base), "disclosing-terms")
     added = find_terms(rows.select("__row", "text"), terms)
     free = F.filter(
         F.array_sort(F.coalesce("found", F.expr("array()"))),
