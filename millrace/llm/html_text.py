@@ -59,18 +59,28 @@ SCOPE = frozenset("table td th caption button object template html".split())
 _TAG = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)(?:>|\Z))", re.S)
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
-#: Nested tables deeper than this are laid out as plain blocks.
-TABLE_DEPTH = 6
+#: Buttons whose caption is an attribute.
+BUTTONS = frozenset("submit reset button".split())
+#: Fixed values of the HTML standard: the most columns and rows that a cell spans.
+COLUMNS, ROWS = 1_000, 65_534
+#: A wider cell does not push its column further out, nor is any column further out than a line;
+#: what comes behind then follows after two blanks. No text is lost by that.
+CELL, LINE = 200, 4_000
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    """An element; ``front`` is what a table has to be preceded by, ``hide`` whether its own text
+    is invisible, ``lines`` the laid out table."""
+
+    __slots__ = ("tag", "attrs", "children", "front", "hide", "lines")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.front, self.hide, self.lines = [], False, []
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -209,10 +219,9 @@ class Tree:
     def _place(self, child) -> None:
         """Into the open element, or, between the parts of a table, in front of the table."""
         if self.open[-1].tag in TABLE_PARTS - {"td", "th", "caption"}:
-            k = max((i for i, x in enumerate(self.open) if x.tag == "table"), default=0)
-            if k:
-                siblings = self.open[k - 1].children
-                siblings.insert(siblings.index(self.open[k]), child)
+            table = next((x for x in reversed(self.open) if x.tag == "table"), None)
+            if table is not None:
+                table.front.append(child)
                 return
         self.open[-1].children.append(child)
 
@@ -253,6 +262,21 @@ def shown_options(select: Node) -> list[Node]:
     return (chosen or options[:1])[-1:]
 
 
+def laid_children(node: Node):
+    """What an element lays out, in order: loose text of a table stands in front of it."""
+    if node.tag == "select":
+        yield from shown_options(node)
+        return
+    todo, opened = node.children[::-1], set()
+    while todo:
+        child = todo.pop()
+        if isinstance(child, Node) and child.front and child not in opened:
+            opened.add(child)
+            todo += [child, *reversed(child.front)]
+        else:
+            yield child
+
+
 def seen(node: Node) -> bool:
     """Whether an element is laid out at all."""
     a = node.attrs
@@ -310,53 +334,120 @@ class Page:
 
 
 def table_rows(table: Node):
-    """The visible rows of a table as lists of visible cells, in order; captions come first."""
-    stack = [iter(table.children)]
+    """The visible rows of a table in order, as ``(group, cells)``; a caption has no group."""
+    stack, group = [iter(table.children)], 0
     while stack:
         node = next(stack[-1], None)
         if node is None:
             stack.pop()
+            group += 1
         elif isinstance(node, Node) and seen(node):
             if node.tag in ("td", "th"):
-                yield [node]
+                yield group, [node]
             elif node.tag == "tr":
-                yield [c for c in node.children if isinstance(c, Node) and c.tag in ("td", "th") and seen(c)]
+                yield group, [c for c in node.children if isinstance(c, Node) and c.tag in ("td", "th") and seen(c)]
             elif node.tag == "caption":
-                yield [node]
+                yield None, [node]
             elif node.tag in ("tbody", "thead", "tfoot"):
+                group += 1
                 stack.append(iter(node.children))
 
 
-def lay_table(table: Node, depth: int) -> list[str]:
-    """Rows of a table with columns padded to their widest cell; cells may have many lines."""
-    grid = [[render(c, depth + 1).split("\n") for c in row] for row in table_rows(table)]
-    wide = [r for r in grid if len(r) > 1]
-    widths: list[int] = []
-    for row in wide:
-        for k, cell in enumerate(row):
-            size = max(map(len, cell))
-            if k == len(widths):
-                widths.append(size)
-            else:
-                widths[k] = max(widths[k], size)
+def span(cell: Node, name: str, most: int) -> int:
+    value = cell.attrs.get(name, "1").strip()
+    return min(int(value), most) if re.fullmatch("[0-9]{1,9}", value) else 1
+
+
+def placed_rows(table: Node) -> list[list[tuple[int, int, list[str]]]]:
+    """Each row's cells as first column, columns, lines: a cell takes the first columns that no
+    cell of a row above reaches down into. Captions are rows of column -1."""
+    out, busy, last = [], {}, None
+    for r, (group, cells) in enumerate(table_rows(table)):
+        if group is None:
+            out.append([(-1, 1, render_lines(cells[0]))])
+            continue
+        if group != last:
+            busy, last = {}, group
+        x, row = 0, []
+        for c in cells:
+            while busy.get(x, 0) > r:
+                x += 1
+            wide, high = max(1, span(c, "colspan", COLUMNS)), span(c, "rowspan", ROWS)
+            row.append((x, wide, render_lines(c) or [""]))
+            if high != 1:
+                until = r + high if high else 1 << 62
+                busy.update(dict.fromkeys(range(x, x + wide), until))
+            x += wide
+        out.append(row)
+    return out
+
+
+def lay_table(table: Node) -> list[str]:
+    """Lines of a table, columns padded to their widest cell; cells may have many lines and span
+    columns and rows. A row of one cell in the first column is not aligned."""
+    rows = placed_rows(table)
+    alone = lambda row: len(row) == 1 and row[0][0] <= 0
+    cells = [c for row in rows if not alone(row) for c in row]
+    # Only columns in which a cell begins or ends matter.
+    edges = sorted({x for x, _, _ in cells} | {x + w for x, w, _ in cells})
+    at = {x: k for k, x in enumerate(edges)}
+    widths = [0] * len(edges)
+    spanning = []
+    for x, w, lines in cells:
+        size = min(CELL, max(map(len, lines)))
+        if at[x + w] == at[x] + 1:
+            widths[at[x]] = max(widths[at[x]], size)
+        else:
+            spanning.append((at[x], at[x + w], size))
+    for first, stop, size in spanning:
+        held = sum(widths[first:stop]) + 2 * (stop - first - 1)
+        widths[stop - 1] += max(0, min(size, CELL) - held)
+    starts, place = [], 0
+    for w in widths:
+        starts.append(min(place, LINE))
+        place += w + 2
     out = []
-    for row in grid:
-        if len(row) == 1:
-            out += [x for x in row[0] if x]
+    for row in rows:
+        if alone(row):
+            out += [x for x in row[0][2] if x]
             continue
-        for k in range(max((len(c) for c in row), default=0)):
-            cells = [(c[k] if k < len(c) else "").ljust(w) for c, w in zip(row, widths)]
-            line = "  ".join(cells).rstrip()
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            parts, length = [], 0
+            for x, _, lines in row:
+                text = lines[k] if k < len(lines) else ""
+                if text:
+                    gap = max(starts[at[x]] - length, 2 if length else 0)
+                    parts += [" " * gap, text]
+                    length += gap + len(text)
+            line = "".join(parts).rstrip()
             if line:
                 out.append(line)
     return out
 
 
-def render(root: Node, depth: int = 0) -> str:
-    """All visible text below a node. The walk keeps its own stack, so nesting has no limit."""
+def lay_out(root: Node) -> None:
+    """What is hidden, and all tables, the inner ones first, whatever their depth."""
+    tables, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        for child in laid_children(node):
+            if isinstance(child, Node) and seen(child):
+                style = _VISIBILITY.findall(child.attrs.get("style", ""))
+                child.hide = style[-1].lower() != "visible" if style else node.hide
+                if child.tag == "table":
+                    tables.append(child)
+                stack.append(child)
+    # A table is found before those inside it.
+    for table in reversed(tables):
+        table.lines = lay_table(table)
+
+
+def render_lines(root: Node) -> list[str]:
+    """All visible text below a node, of which ``lay_out`` laid the tables. The walk keeps its own
+    stack, so nesting has no limit."""
     page = Page()
     # Entries: (node, iterator, what to do at its end).
-    stack = [(root, iter(root.children), None)]
+    stack = [(root, laid_children(root), None)]
     pre = 0
     counters: list[int] = []
     while stack:
@@ -377,6 +468,8 @@ def render(root: Node, depth: int = 0) -> str:
                     page.bullet = ""
             continue
         if isinstance(child, str):
+            if node.hide:
+                continue
             data = html.unescape(child)
             if pre:
                 first, *more = data.replace("\r\n", "\n").split("\n")
@@ -388,9 +481,15 @@ def render(root: Node, depth: int = 0) -> str:
             else:
                 page.write(data)
             continue
+        tag = child.tag
+        if tag == "input":
+            a = child.attrs
+            hidden = "hidden" in a or node.hide or _UNSEEN.search(a.get("style", "")) or _VISIBILITY.search(a.get("style", ""))
+            if a.get("type", "").lower() in BUTTONS and not hidden:
+                page.write(f" {a.get('value', '')} ")
+            continue
         if not seen(child):
             continue
-        tag = child.tag
         if tag == "br":
             if page.line:
                 page.flush()
@@ -400,9 +499,9 @@ def render(root: Node, depth: int = 0) -> str:
         if tag == "hr":
             page.space()
             continue
-        if tag == "table" and depth < TABLE_DEPTH:
+        if tag == "table":
             page.space()
-            for line in lay_table(child, depth):
+            for line in child.lines:
                 page.put(line)
             page.space()
             continue
@@ -426,12 +525,15 @@ def render(root: Node, depth: int = 0) -> str:
         elif tag in ("blockquote", "dd"):
             page.indent.append("  ")
         pre += tag in PREFORMATTED
-        stack.append((child, iter(shown_options(child) if tag == "select" else child.children), True))
-    return page.text()
+        stack.append((child, laid_children(child), True))
+    page.flush()
+    return page.lines
 
 
 def visible_text(page: str) -> str:
-    return render(build(page))
+    root = build(page)
+    lay_out(root)
+    return "\n".join(render_lines(root))
 
 
 def extract(pages: DataFrame, page: str = "html", out: str = "content") -> DataFrame:
