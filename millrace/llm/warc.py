@@ -3,9 +3,9 @@
 A payload longer than ``CHUNK`` characters becomes several records, numbered segments of one
 logical record, so nothing that is written or read back is larger than a chunk. Records are
 rows of Spark's text format: a row is the header and the block, the line separator is the
-two line ends that close a record. A payload that holds the line that starts a record is
-also cut inside it, so archives split cleanly at ``BETWEEN`` and can be read in parallel
-from any offset.
+two line ends that close a record. A payload that holds the version text that starts a record
+is also cut inside it, so archives split cleanly at ``BETWEEN`` and can be read in parallel
+from any offset. Every chunk carries its own digest, so that a damaged one is known by itself.
 """
 
 from __future__ import annotations
@@ -32,10 +32,11 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 def chunks(payload: Column, size: int = CHUNK) -> Column:
     """The payload cut into pieces of at most ``size`` characters, none of which holds the
-    line that starts a record; an empty payload is one empty piece."""
-    whole = ~payload.contains(VERSION + END) & (F.length(payload) <= size)
+    version text that starts a record, with or without a line end behind: what closes a record
+    would complete it. An empty payload is one empty piece."""
+    whole = ~payload.contains(VERSION) & (F.length(payload) <= size)
     # The cut falls into the version text: neither side holds it whole.
-    cut = F.split(payload, r"(?<=WAR)(?=C/1\.1\r\n)")
+    cut = F.split(payload, r"(?<=WAR)(?=C/1\.1)")
     pieces = F.flatten(F.transform(cut, lambda p: F.regexp_extract_all(p, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))))
     return F.when(whole, F.array(payload)).otherwise(pieces)
 
@@ -98,6 +99,7 @@ def write_archives(
         line("WARC-Segment-Number", F.col("at") + 1, F.col("n") > 1),
         line("WARC-Segment-Origin-ID", number(F.col("__row")), ~first),
         line("WARC-Segment-Total-Length", F.col("bytes"), F.col("at") + 1 == F.col("n")),
+        line("WARC-Block-Digest", F.concat(F.lit("sha1:"), F.sha1(F.col("piece").cast("binary")))),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         F.lit("Content-Length: "), F.octet_length("piece").cast("string"), F.lit(END + END),
         F.col("piece"),
@@ -107,7 +109,8 @@ def write_archives(
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """The record chunks of archives: ``record``, ``chunk`` (from 0), ``type`` (of the logical
-    record), ``key``, ``refers_to``, ``more`` (further chunks follow or came before), ``block``."""
+    record), ``key``, ``refers_to``, ``more`` (further chunks follow or came before), ``block``,
+    ``block_digest`` as written and ``intact``, whether the block still has it."""
     raw = spark.read.option("lineSep", BETWEEN).text(path)
     start = VERSION + END
     value = F.when(F.col("value").startswith(start), F.expr(f"substring(value, {len(start) + 1})")).otherwise(
@@ -122,6 +125,8 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     h = F.col("h")
     size = h["Content-Length"].cast("int")
     segment = h["WARC-Segment-Number"].cast("bigint")
+    block = F.substring(F.col("rest"), F.lit(1), size)
+    written = F.regexp_replace(h["WARC-Block-Digest"], "^sha1:", "")
     return fields.select(
         name(F.coalesce(h["WARC-Segment-Origin-ID"], h["WARC-Record-ID"])).cast("bigint").alias("record"),
         F.coalesce(segment - 1, F.lit(0)).alias("chunk"),
@@ -129,7 +134,9 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
         h["X-Key"].alias("key"),
         F.nullif(name(h["WARC-Refers-To"]), F.lit("")).cast("bigint").alias("refers_to"),
         segment.isNotNull().alias("more"),
-        F.substring(F.col("rest"), F.lit(1), size).alias("block"),
+        block.alias("block"),
+        written.alias("block_digest"),
+        (F.sha1(block) == written).alias("intact"),
     )
 
 
