@@ -7,13 +7,14 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import ref
+from millrace.functions.columns import fresh_name, ref
 from millrace.operators.joint_kmeans import kmeans_joint, nearest_number
+from millrace.session import materialize
 
 # Cluster counts tried, cluster count used, passes, seed.
 ELBOW_KS = (3, 4, 5, 6, 7)
@@ -79,7 +80,7 @@ def class_centroids(
     df: DataFrame, label: str, col: str, max_classes: int = MAX_CLASSES
 ) -> list[tuple[int, list[float]]]:
     """``(label, mean vector)`` of every class, in class order; fails beyond ``max_classes``,
-    as the centres go to the driver and to every task."""
+    as the centres go to the driver and to every task. ``nearest_class`` takes any number."""
     means = df.groupBy(ref(label).alias("label")).agg(
         Summarizer.mean(array_to_vector(ref(col).cast("array<double>"))).alias("center")
     )
@@ -135,3 +136,54 @@ def nearest_centroid(
         return found.reindex(points.index).astype("Int32")
 
     return df.withColumn(out, nearest(ref(col)))
+
+
+def nearest_class(
+    df: DataFrame, label: str, col: str, out: str = "cluster", block: int = MAX_CLASSES
+) -> DataFrame:
+    """Add the class whose mean vector is nearest, the smallest class on ties; any number of classes.
+
+    The means stay in a stored table and come to the tasks ``block`` at a time; the rows and the
+    best class so far are stored between blocks. Rows without a vector get null. Nothing is near
+    in a table without labelled vectors.
+    """
+    means = materialize(
+        df.filter(ref(col).isNotNull() & ref(label).isNotNull())
+        .groupBy(ref(label).cast("bigint").alias("label"))
+        .agg(Summarizer.mean(array_to_vector(ref(col).cast("array<double>"))).alias("center"))
+        .select("label", vector_to_array("center").alias("center")),
+        "class-means",
+    )
+    blocks = -(-means.count() // block)
+    best = fresh_name(df, "__best")
+    kind = "struct<d:double,label:bigint>"
+    rows = df.withColumn(best, F.lit(None).cast(kind))
+    # Classes are dealt by their hash; a block that gets more than its share is cut again.
+    dealt = means.withColumn("block", F.pmod(F.xxhash64("label"), F.lit(max(1, 2 * blocks))))
+    for number in range(2 * blocks if blocks > 1 else blocks):
+        mine = dealt.filter(F.col("block") == number) if blocks > 1 else dealt
+        found = [(r["label"], r["center"]) for r in mine.orderBy("label").toLocalIterator()]
+        for at in range(0, len(found), block):
+            rows = rows.withColumn(best, _better(rows, col, found[at : at + block], best))
+            if blocks > 1:
+                rows = materialize(rows, "nearest-so-far")
+    return rows.select(*[ref(c) for c in df.columns], F.col(best)["label"].cast("int").alias(out))
+
+
+def _better(rows: DataFrame, col: str, centers: list, best: str) -> Column:
+    """The best of what is known and the given centres: least distance, then smallest label."""
+    names, vectors = np.array([n for n, _ in centers]), [v for _, v in centers]
+
+    @F.pandas_udf("struct<d:double,label:bigint>")
+    def nearest(points: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame({"d": np.nan, "label": 0}, index=points.index).astype({"label": "int64"})
+        known = points.dropna()
+        if len(known):
+            far = _distance_matrix(known, vectors)
+            own = far.argmin(axis=1)
+            out.loc[known.index, "d"] = far[np.arange(len(known)), own]
+            out.loc[known.index, "label"] = names[own]
+        return out
+
+    new = F.when(ref(col).isNotNull(), nearest(ref(col)))
+    return F.coalesce(F.least(F.col(best), new), F.col(best), new)

@@ -18,38 +18,60 @@ from millrace.session import collect_small, materialize
 SHORT_LIST = 10_000
 
 
+def label_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(i, label, n)`` for the labels of all columns, by one scan and one shuffle."""
+    entries = [F.struct(F.lit(i).alias("i"), ref(c).alias("label")) for i, c in enumerate(cols)]
+    each = df.select(F.explode(F.array(*entries)).alias("x")).select("x.*").filter("label is not null")
+    return each.groupBy("i", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def label_ranks_of(
+    df: DataFrame, cols: Sequence[str], short_list: int = SHORT_LIST
+) -> dict[str, tuple[DataFrame, int, bool]]:
+    """``label_ranks`` of several columns: counted together, and ranked together.
+
+    The lists come to the driver when all of them together are short. Otherwise one sort ranks
+    them all: a label's number is what comes before it in its part, and in the parts before.
+    """
+    spark, out = df.sparkSession, {}
+    kinds: dict[str, list[str]] = {}
+    for c in dict.fromkeys(cols):
+        kinds.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    for kind, same in kinds.items():
+        counts = materialize(label_counts(df, same), "label-counts")
+        head = collect_small(counts, short_list * len(same))
+        if head is not None:
+            for i, c in enumerate(same):
+                mine = sorted((r for r in head if r["i"] == i), key=lambda r: (-r["n"], r["label"]))
+                rows = [(r["label"], float(k)) for k, r in enumerate(mine)]
+                out[c] = (spark.createDataFrame(rows, f"label {kind}, index double"), len(rows), True)
+            continue
+        # number = labels of the column in earlier sorted parts + place among them in the part
+        ranked = counts.orderBy("i", F.desc("n"), F.asc("label"))
+        placed = materialize(
+            ranked.select(
+                "i", "label", F.spark_partition_id().alias("part"),
+                F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+            ),
+            "label-ranks",
+        )
+        # one row per column and part of the sort; within a part the columns come one after the other
+        sizes = placed.groupBy("i", "part").agg(F.count(F.lit(1)).alias("size"), F.min("place").alias("least"))
+        before = Window.partitionBy("i").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("i", "part", (F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("least")).alias("start"))
+        ranks = placed.join(F.broadcast(starts), ["i", "part"]).select(
+            "i", "label", (F.col("start") + F.col("place")).cast("double").alias("index")
+        )
+        totals = {r["i"]: r["n"] for r in placed.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for i, c in enumerate(same):
+            out[c] = (ranks.filter(F.col("i") == i).select("label", "index"), totals.get(i, 0), False)
+    return out
+
+
 def label_ranks(df: DataFrame, col: str, short_list: int = SHORT_LIST) -> tuple[DataFrame, int, bool]:
     """``(label, index)`` by falling frequency, ties in label order; with the number of
     labels and whether the list is short enough to broadcast."""
-    counts = (
-        df.filter(ref(col).isNotNull())
-        .groupBy(ref(col).alias("label"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranked = counts.orderBy(F.desc("n"), F.asc("label"))
-    head = collect_small(ranked.select("label"), short_list)
-    if head is not None:
-        rows = [(r["label"], float(i)) for i, r in enumerate(head)]
-        kind = df.schema[col].dataType.simpleString()
-        ranks = df.sparkSession.createDataFrame(rows, f"label {kind}, index double")
-        return ranks, len(rows), True
-    # row number = rows in earlier sorted parts + place within the part
-    placed = materialize(
-        ranked.select(
-            "label",
-            F.spark_partition_id().alias("part"),
-            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
-        ),
-        "label-ranks",
-    )
-    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    # one row per part of the sort
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    ranks = placed.join(starts, "part").select(
-        "label", (F.col("start") + F.col("place")).cast("double").alias("index")
-    )
-    return ranks, placed.count(), False
+    return label_ranks_of(df, [col], short_list)[col]
 
 
 def apply_ranks(
@@ -86,8 +108,7 @@ def string_index(
 ) -> DataFrame:
     """Add ``c_index`` for every column: 0 for the most frequent text."""
     out = df
-    for col in cols:
-        ranks, size, short = label_ranks(df, col, short_list)
+    for col, (ranks, size, short) in label_ranks_of(df, cols, short_list).items():
         out = apply_ranks(out, col, ranks, size, short, invalid)
     return out
 
@@ -136,7 +157,7 @@ def encode(
 ) -> DataFrame:
     """Index and one-hot columns, ranking every label list once."""
     out, sizes = df, {}
-    for col in cols:
-        ranks, sizes[col], short = label_ranks(df, col)
-        out = apply_ranks(out, col, ranks, sizes[col], short, invalid)
+    for col, (ranks, size, short) in label_ranks_of(df, cols).items():
+        sizes[col] = size
+        out = apply_ranks(out, col, ranks, size, short, invalid)
     return one_hot(out, cols, sizes, sparse) if cols else out

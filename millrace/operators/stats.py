@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -25,9 +27,8 @@ NO_SPREAD = 1e-12
 def column_stats(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """``(column, n, n_distinct, mean, stddev, min, max)`` for numeric columns.
 
-    Everything but the exact distinct counts comes from one pass. Those are
-    counted column by column, each scan reading one column only; ``approx``
-    replaces them by sketches in the same pass.
+    Everything but the exact distinct counts comes from one pass, those of all columns
+    together from a second one; ``approx`` replaces them by sketches in the first.
     """
     cols = numeric_columns(df) if cols is None else list(cols)
     aggs, entries = [], []
@@ -48,15 +49,28 @@ def column_stats(df: DataFrame, cols: Sequence[str] | None = None, approx: bool
         )
     stats = df.agg(*aggs).select(F.inline(F.array(*entries)))
     if not approx:
-        distinct = [
-            df.select(ref(c).alias("v")).filter("v is not null").distinct()
-            .agg(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_distinct"))
-            for c in cols
-        ]
-        stats = stats.join(reduce(DataFrame.unionByName, distinct), "column")
+        stats = stats.join(distinct_counts(df, cols), "column")
     return stats.select("column", "n", "n_distinct", "mean", "stddev", "min", "max")
 
 
+def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, n_distinct)``: exact, null not counted, all columns by one scan and one shuffle
+    of different values. Columns of one type are compared in it; each type has a field of its own."""
+    kinds = sorted({df.schema[c].dataType.simpleString() for c in cols})
+    fields = {k: f"v{i}" for i, k in enumerate(kinds)}
+    entries = []
+    for i, c in enumerate(cols):
+        own = df.schema[c].dataType.simpleString()
+        values = [(ref(c) if k == own else F.lit(None).cast(k)).alias(f) for k, f in fields.items()]
+        entries.append(F.when(ref(c).isNotNull(), F.struct(F.lit(i).alias("i"), *values)))
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "i int, column string")
+    if not cols:
+        return names.select("column", F.lit(0).cast("bigint").alias("n_distinct"))
+    each = df.select(F.explode(F.array(*entries)).alias("x")).filter("x is not null").select("x.*").distinct()
+    counts = each.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    return F.broadcast(names).join(counts, "i", "left").select("column", F.coalesce("n", F.lit(0)).alias("n_distinct"))
+
+
 def group_sizes(df: DataFrame, col: str) -> DataFrame:
     """``(col, n, pct)``: rows per group and their share of all rows, by group."""
     counts = df.groupBy(ref(col).alias(col)).agg(F.count(F.lit(1)).alias("n"))
@@ -69,35 +83,148 @@ def _clean_double(name: str):
     return F.when(~F.isnan(c), c)
 
 
+#: Columns of a tile's side, and bytes of tiles that a task adds up at a time.
+TILE, TILES_BYTES = 128, 64 << 20
+
+
+class Tile:
+    """Sums over the rows for one block of columns against another: of rows in which both columns
+    are known, the number, the sums and squares of either side, and the products."""
+
+    def __init__(self, height: int, width: int):
+        self.rows = 0
+        self.left, self.right = np.zeros((2, height)), np.zeros((2, width))
+        self.product = np.zeros((height, width))
+        # Where no value is missing these follow from the above.
+        self.masked: np.ndarray | None = None
+
+    def add(self, x: np.ndarray, y: np.ndarray, known_x: np.ndarray | None, known_y: np.ndarray | None) -> None:
+        self.product += x.T @ y
+        if known_x is None and known_y is None:
+            self.rows += len(x)
+            self.left += [x.sum(0), (x * x).sum(0)]
+            self.right += [y.sum(0), (y * y).sum(0)]
+            return
+        kx = np.ones_like(x) if known_x is None else known_x
+        ky = np.ones_like(y) if known_y is None else known_y
+        if self.masked is None:
+            self.masked = np.zeros((5, *self.product.shape))
+        self.masked += np.stack([kx.T @ ky, x.T @ ky, kx.T @ y, (x * x).T @ ky, kx.T @ (y * y)])
+
+    def lines(self) -> np.ndarray:
+        """``[row of the tile, sum, column]`` in the order of ``PAIR_SUMS``."""
+        full = np.broadcast_to
+        shape = self.product.shape
+        out = np.stack([
+            full(float(self.rows), shape), full(self.left[0][:, None], shape), full(self.right[0], shape),
+            full(self.left[1][:, None], shape), full(self.right[1], shape), self.product,
+        ])
+        if self.masked is not None:
+            out[:5] += self.masked
+        return out.transpose(1, 0, 2)
+
+
+PAIR_SUMS = ("n", "si", "sj", "qi", "qj", "p")
+
+
+def _tile_passes(width: int, gaps: Sequence[bool]) -> list[list[tuple[int, int]]]:
+    """The tiles on and above the diagonal, in groups that a task can add up at a time."""
+    blocks = -(-width // TILE)
+    holed = [any(gaps[b * TILE : (b + 1) * TILE]) for b in range(blocks)]
+    passes, room = [], 0
+    for i in range(blocks):
+        for j in range(i, blocks):
+            size = TILE * TILE * 8 * (6 if holed[i] or holed[j] else 1)
+            if size > room:
+                passes.append([])
+                room = TILES_BYTES
+            passes[-1].append((i, j))
+            room -= size
+    return passes
+
+
+def _tile_sums(named: DataFrame, tiles: list[tuple[int, int]], center: Sequence[float], width: int) -> DataFrame:
+    """``(i, tile, line)`` of each task: the packed sums of column ``i`` against those of a block."""
+    used = sorted({b for t in tiles for b in t})
+    spans = {b: (b * TILE, min(width, (b + 1) * TILE)) for b in used}
+    columns = [c for b in used for c in range(*spans[b])]
+    middle = {b: np.array(center[slice(*spans[b])]) for b in used}
+
+    def run(batches):
+        held = {t: Tile(*(spans[b][1] - spans[b][0] for b in t)) for t in tiles}
+        for batch in batches:
+            blocks, at = {}, 0
+            for b in used:
+                n = spans[b][1] - spans[b][0]
+                x = np.stack([batch.column(at + c).to_numpy(zero_copy_only=False) for c in range(n)], 1) - middle[b]
+                at += n
+                known = np.isfinite(x)
+                blocks[b] = (x, None) if known.all() else (np.where(known, x, 0.0), known.astype(float))
+            for (i, j), tile in held.items():
+                tile.add(blocks[i][0], blocks[j][0], blocks[i][1], blocks[j][1])
+        for (i, j), tile in held.items():
+            lines = tile.lines()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(*spans[i]), pa.int32()), pa.array([j] * len(lines), pa.int32()),
+                 pa.array([np.ascontiguousarray(x).tobytes() for x in lines], pa.binary())],
+                ["i", "tile", "line"],
+            )
+
+    return named.select(*[f"x{c}" for c in columns]).mapInArrow(run, "i int, tile int, line binary")
+
+
+def _added(parts: DataFrame) -> DataFrame:
+    """``(i, j)`` and the sums of ``PAIR_SUMS``, from the packed lines of all tasks; a task adds one
+    line after the other and holds one."""
+
+    def run(batches):
+        key, total = None, None
+
+        def told():
+            i, tile = key
+            n = total.shape[1]
+            j = tile * TILE + np.arange(n)
+            use = j >= i
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(use.sum(), i, np.int32)), pa.array(j[use].astype(np.int32)), *[pa.array(x[use]) for x in total]],
+                ["i", "j", *PAIR_SUMS],
+            )
+
+        for batch in batches:
+            for i, tile, line in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                values = np.frombuffer(line).reshape(len(PAIR_SUMS), -1)
+                if (i, tile) == key:
+                    total += values
+                    continue
+                if key is not None:
+                    yield told()
+                key, total = (i, tile), values.copy()
+        if key is not None:
+            yield told()
+
+    ordered = parts.repartition("i", "tile").sortWithinPartitions("i", "tile")
+    return ordered.mapInArrow(run, "i int, j int, " + ", ".join(f"{k} double" for k in PAIR_SUMS))
+
+
 def _pair_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(i, j, n, co, vi, vj)``: co-moment sums of all column pairs i <= j over complete rows.
 
-    One matrix product per batch and one row per pair and task; values are
-    centred first, so that large means cost no precision. Pairwise aggregate
-    expressions fall out of generated code beyond a few columns and are slower.
+    Columns are cut into blocks; a task adds up tiles of one block against another by matrix
+    products, at most ``TILES_BYTES`` of them, so wide tables are read several times rather than
+    held whole. A tile's line of one column is one packed row. Values are centred first, so that
+    large means cost no precision; what is missing is only tracked in tiles with gaps.
     """
     named = df.select(*[_clean_double(c).alias(f"x{i}") for i, c in enumerate(cols)])
-    row = named.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(len(cols))]).first()
-    center = [row[i] or 0.0 for i in range(len(cols))]
+    finite = lambda c: F.when(F.abs(c) != float("inf"), F.col(c))
+    row = named.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.avg(finite(f"x{i}")).alias(f"m{i}") for i in range(len(cols))],
+        *[F.count(finite(f"x{i}")).alias(f"n{i}") for i in range(len(cols))],
+    ).first()
     width = len(cols)
-    sums = ("n", "si", "sj", "qi", "qj", "p")
-
-    def products(batches):
-        import numpy as np
-        import pandas as pd
-
-        total = np.zeros((6, width, width))
-        for batch in batches:
-            x = batch.to_numpy(dtype="float64") - np.array(center)
-            ok = np.isfinite(x).astype("float64")
-            x = np.where(ok > 0, x, 0.0)
-            sq = x * x
-            total += np.stack([ok.T @ ok, x.T @ ok, ok.T @ x, sq.T @ ok, ok.T @ sq, x.T @ x])
-        i, j = np.triu_indices(width)
-        yield pd.DataFrame({"i": i, "j": j, **{k: total[at, i, j] for at, k in enumerate(sums)}})
-
-    parts = named.mapInPandas(products, "i int, j int, " + ", ".join(f"{k} double" for k in sums))
-    total = parts.groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in sums])
+    center = [row[f"m{i}"] or 0.0 for i in range(width)]
+    gaps = [row[f"n{i}"] < row["rows"] for i in range(width)]
+    parts = [_tile_sums(named, tiles, center, width) for tiles in _tile_passes(width, gaps)]
+    total = _added(reduce(DataFrame.unionByName, parts))
     n = F.nullif(F.col("n"), F.lit(0.0))
 
     def spread(q: str, s: str):
