@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog.q_joins import PLAYER_DATA, PLAYERS
-from millrace.catalog.q_transform import _rank_sql
+from millrace.catalog.q_transform import _rank_sql, squares
 from millrace.catalog.registry import DOC_FEATURES, doc_features, query, rd, rounded, unit_hash_sql, view_query
+from millrace.operators.clustering import kmeans_centers
 from millrace.plans.stages import (
     clean_roster,
     clean_seasons,
@@ -147,21 +148,31 @@ def stage_transformed(spark, d):
     )
 
 
+_BINNED = ("PTS", "Age", "PER")
+
+
+def _quantile_sql(c):
+    steps = " + ".join(f"CASE WHEN {c} >= {c}_q[{i}] THEN 1.0 ELSE 0.0 END" for i in range(1, 5))
+    return f"CAST({steps} AS DOUBLE) AS {c}_quantile"
+
+
 @query(
     "stage_discretize",
     f"""WITH g AS (SELECT season, coalesce(PTS, 0.0) AS PTS, coalesce(Age, 0.0) AS Age, PER FROM ({SEASONS}))
         SELECT season, {rd('PER')} AS per,
-               {', '.join(f"least(floor(({c} - {c}_l) / (({c}_h - {c}_l) / 5)), 4) + 0.0 AS {c}_equal_width" for c in ('PTS', 'Age', 'PER'))},
-               true AS clustered
-        FROM g, (SELECT {', '.join(f'min({c}) AS {c}_l, max({c}) AS {c}_h' for c in ('PTS', 'Age', 'PER'))} FROM g)""",
+               {', '.join(f"least(floor(({c} - {c}_l) / (({c}_h - {c}_l) / 5)), 4) + 0.0 AS {c}_equal_width" for c in _BINNED)},
+               {', '.join(_quantile_sql(c) for c in _BINNED)}, true AS nearest
+        FROM g, (SELECT {', '.join(f'min({c}) AS {c}_l, max({c}) AS {c}_h, quantile_disc({c}, [0.2, 0.4, 0.6, 0.8]) AS {c}_q' for c in _BINNED)} FROM g)""",
 )
 def stage_discretized(spark, d):
+    """Bins of both kinds, and whether the cluster is that of the centre next to the row."""
     rows = view_query(spark, d, SEASONS, "orders").na.fill(0.0, ["PTS", "Age"])
     out = discretize_stage(rows.drop("blanl"), key="season", targets=["PER"])
-    widths = [F.col(f"{c}_equal_width") for c in ("PTS", "Age", "PER")]
-    return out.select(
-        "season", rounded("PER").alias("per"), *widths, F.col("player_cluster").between(0, 3).alias("clustered")
-    )
+    bins = [F.col(f"{c}_{kind}") for kind in ("equal_width", "quantile") for c in _BINNED]
+    cols = ["PTS", "Age"]
+    far = F.array(*[squares(cols, c) for c in kmeans_centers(rows, cols)])
+    nearest = F.get(far, F.col("player_cluster")) <= F.array_min(far) * (1 + 1e-9)
+    return out.select("season", rounded("PER").alias("per"), *bins, nearest.alias("nearest"))
 
 
 def chain(spark, d):
