@@ -140,6 +140,8 @@ class Tree:
     def __init__(self):
         self.root = Node("html", {})
         self.open = [self.root]
+        #: Whether anything stands loose in a table.
+        self.loose = False
         #: Open elements by tag, so that closing what is not open costs nothing.
         self.held = Counter()
 
@@ -222,6 +224,7 @@ class Tree:
             table = next((x for x in reversed(self.open) if x.tag == "table"), None)
             if table is not None:
                 table.front.append(child)
+                self.loose = True
                 return
         self.open[-1].children.append(child)
 
@@ -241,6 +244,8 @@ def build(page: str) -> Node:
             if name in UNDRAWN and tree.held[UNDRAWN[name]]:
                 attrs["hidden"] = ""
             tree.start(name, attrs, svg or (rest.rstrip().endswith("/") and name in ("svg", "math")))
+    if tree.loose:
+        settle(tree.root)
     return tree.root
 
 
@@ -262,19 +267,26 @@ def shown_options(select: Node) -> list[Node]:
     return (chosen or options[:1])[-1:]
 
 
-def laid_children(node: Node):
-    """What an element lays out, in order: loose text of a table stands in front of it."""
-    if node.tag == "select":
-        yield from shown_options(node)
-        return
-    todo, opened = node.children[::-1], set()
-    while todo:
-        child = todo.pop()
-        if isinstance(child, Node) and child.front and child not in opened:
-            opened.add(child)
-            todo += [child, *reversed(child.front)]
-        else:
-            yield child
+def laid_children(node: Node) -> list:
+    """What an element lays out, in order."""
+    return shown_options(node) if node.tag == "select" else node.children
+
+
+def settle(root: Node) -> None:
+    """Loose text of tables moved in front of them, each table once."""
+    stack, opened = [root], set()
+    while stack:
+        node = stack.pop()
+        todo, settled = node.children[::-1], []
+        while todo:
+            child = todo.pop()
+            if isinstance(child, Node) and child.front and child not in opened:
+                opened.add(child)
+                todo += [child, *reversed(child.front)]
+            else:
+                settled.append(child)
+        node.children = settled
+        stack += [x for x in settled if isinstance(x, Node)]
 
 
 def seen(node: Node) -> bool:
@@ -431,12 +443,14 @@ def lay_out(root: Node) -> None:
     while stack:
         node = stack.pop()
         for child in laid_children(node):
-            if isinstance(child, Node) and seen(child):
-                style = _VISIBILITY.findall(child.attrs.get("style", ""))
-                child.hide = style[-1].lower() != "visible" if style else node.hide
+            if child.__class__ is Node and seen(child):
+                child.hide = node.hide
+                if "style" in child.attrs and (style := _VISIBILITY.findall(child.attrs["style"])):
+                    child.hide = style[-1].lower() != "visible"
                 if child.tag == "table":
                     tables.append(child)
-                stack.append(child)
+                if child.children:
+                    stack.append(child)
     # A table is found before those inside it.
     for table in reversed(tables):
         table.lines = lay_table(table)
@@ -447,7 +461,7 @@ def render_lines(root: Node) -> list[str]:
     stack, so nesting has no limit."""
     page = Page()
     # Entries: (node, iterator, what to do at its end).
-    stack = [(root, laid_children(root), None)]
+    stack = [(root, iter(laid_children(root)), None)]
     pre = 0
     counters: list[int] = []
     while stack:
@@ -525,7 +539,7 @@ def render_lines(root: Node) -> list[str]:
         elif tag in ("blockquote", "dd"):
             page.indent.append("  ")
         pre += tag in PREFORMATTED
-        stack.append((child, laid_children(child), True))
+        stack.append((child, iter(laid_children(child)), True))
     page.flush()
     return page.lines
 
