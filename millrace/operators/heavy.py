@@ -4,11 +4,14 @@ Every task keeps a summary of its keys (a Misra-Gries table of bounded size, Spa
 ``approx_top_k`` functions); summaries add up, first in a few groups of tasks, then all
 together. A summary of ``size`` keys is wrong by at most ``3.5 / size`` of all rows, so every
 key beyond twice that is in it. Only the keys it names are then counted exactly.
+
+Texts are summarised by their 64-bit hash, so that a summary has the same bounded size however
+long they are; the texts behind the hashes that it names are looked up before they are counted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
@@ -25,9 +28,20 @@ BROADCAST_ROWS = 10_000
 SUMMARISED = ("string", "tinyint", "smallint", "int", "bigint", "date", "timestamp", "boolean", "float", "double")
 
 
-def summary(df: DataFrame, key: str, size: int) -> DataFrame:
-    """One row: ``rows``, ``nulls`` and ``top``, an array of ``(item, count)``."""
+def _item(df: DataFrame, key: str) -> Column:
+    """What a summary keeps of a key: a text's hash, other keys as they are."""
     k = ref(key)
+    return F.when(k.isNotNull(), F.xxhash64(k)) if _long(df, key) else k
+
+
+def _long(df: DataFrame, key: str) -> bool:
+    return df.schema[key].dataType.simpleString() == "string"
+
+
+def summary(df: DataFrame, key: str, size: int) -> DataFrame:
+    """One row: ``rows``, ``nulls`` and ``top``, an array of ``(item, count)``; the item of a
+    text is its hash."""
+    k = _item(df, key)
     group = F.pmod(F.spark_partition_id(), F.lit(GROUPS))
     parts = df.select(group.alias("__g"), k.alias("__k")).groupBy("__g").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("__k").isNull()).alias("nulls"),
@@ -73,7 +87,14 @@ def candidates(df: DataFrame, key: str, more_than: int) -> tuple[DataFrame | Non
     likely = stored.select(F.explode("top").alias("t")).filter(
         F.col("t.item").isNotNull() & (F.col("t.count") + ERROR * rows / size > more_than)
     )
-    return likely.select(F.col("t.item").alias(key)), nulls
+    items = likely.select(F.col("t.item").alias(key))
+    if not _long(df, key):
+        return items, nulls
+    if items.isEmpty():
+        return df.select(ref(key).alias(key)).limit(0), nulls
+    named = broadcast_small(items.select(F.col(key).alias("__item")), BROADCAST_ROWS)
+    texts = df.select(ref(key).alias(key)).filter(ref(key).isNotNull())
+    return texts.join(named, F.xxhash64(ref(key)) == F.col("__item"), "left_semi").distinct(), nulls
 
 
 def frequent_keys(df: DataFrame, key: str, more_than: int) -> DataFrame:
