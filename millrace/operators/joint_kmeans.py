@@ -21,6 +21,10 @@ from millrace.session import materialize
 
 #: Rows of a block, at most.
 BLOCK = 256
+#: Bytes of numbers that a task gathers before it cuts them into blocks.
+GATHERED = 16 << 20
+#: Tasks, at most, that add up the sums of all others; the driver gets a row from each of these only.
+ADDING = 64
 #: Rows that the first centres are drawn from.
 SAMPLE = 4_096
 #: Centres that move less than this have arrived.
@@ -57,20 +61,30 @@ def blocks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     arrays packed; rows with a missing or non-finite number are left out."""
     d = len(cols)
 
+    def laid(parts):
+        cut = [p for p in _cut(np.concatenate(parts)) if len(p)]
+        mean = [p.mean(0) for p in cut]
+        packed = lambda a: pa.array([v.tobytes() for v in a], pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([len(p) for p in cut], pa.int64()), packed([p.min(0) for p in cut]), packed([p.max(0) for p in cut]),
+             packed(mean), pa.array([float(((p - m) ** 2).sum()) for p, m in zip(cut, mean)], pa.float64()), packed(cut)],
+            ["n", "low", "high", "mean", "scatter", "points"],
+        )
+
     def run(batches):
+        # The more rows are cut at once, the smaller are the boxes.
+        held, size = [], 0
         for batch in batches:
             x = np.empty((batch.num_rows, d))
             for i in range(d):
                 x[:, i] = batch.column(i).to_numpy(zero_copy_only=False)
-            cut = _cut(x[np.isfinite(x).all(1)]) if len(x) else []
-            cut = [p for p in cut if len(p)]
-            mean = [p.mean(0) for p in cut]
-            packed = lambda a: pa.array([v.tobytes() for v in a], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([len(p) for p in cut], pa.int64()), packed([p.min(0) for p in cut]), packed([p.max(0) for p in cut]),
-                 packed(mean), pa.array([float(((p - m) ** 2).sum()) for p, m in zip(cut, mean)], pa.float64()), packed(cut)],
-                ["n", "low", "high", "mean", "scatter", "points"],
-            )
+            held.append(x[np.isfinite(x).all(1)])
+            size += held[-1].nbytes
+            if size >= GATHERED:
+                yield laid(held)
+                held, size = [], 0
+        if size:
+            yield laid(held)
 
     numbers = [ref(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]
     kind = "n bigint, low binary, high binary, mean binary, scatter double, points binary"
@@ -129,33 +143,54 @@ class Sums:
         self.cost[k] += float(((x - c[own]) ** 2).sum())
 
 
+    def state(self) -> list:
+        """The sums packed into one row, in the order of ``STATE``."""
+        ks = sorted(self.centers)
+        n, total = (b"".join(a[k].tobytes() for k in ks) for a in (self.n, self.total))
+        return [n, total, [self.cost[k] for k in ks], self.looked]
+
+    def join(self, n: bytes, total: bytes, costs: Sequence[float], looked: int) -> None:
+        """Add the sums of another task."""
+        rows, numbers, at = np.frombuffer(n, np.int64), np.frombuffer(total), 0
+        for k, cost in zip(sorted(self.centers), costs):
+            d = self.centers[k].shape[1]
+            self.n[k] += rows[at : at + k]
+            self.total[k] += numbers[at * d : (at + k) * d].reshape(k, d)
+            self.cost[k] += cost
+            at += k
+        self.looked += looked
+
+
+STATE = "n binary, total binary, cost array<double>, looked bigint"
+
+
 def _pass(stored: DataFrame, centers: dict[int, np.ndarray]) -> Sums:
-    """One reading of all blocks; every task gives one row."""
+    """One reading of all blocks, in all tasks at once; every task gives one row, which others
+    add up, in the order of the tasks."""
 
-    def run(batches):
+    def packed(sums):
+        return pa.RecordBatch.from_arrays([pa.array([x]) for x in sums.state()], ["n", "total", "cost", "looked"])
+
+    def read(batches):
         sums = Sums(centers)
         for batch in batches:
             if batch.num_rows:
                 sums.add(batch)
-        ks = sorted(centers)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([b"".join(sums.n[k].tobytes() for k in ks)]), pa.array([b"".join(sums.total[k].tobytes() for k in ks)]),
-             pa.array([[sums.cost[k] for k in ks]]), pa.array([sums.looked])],
-            ["n", "total", "cost", "looked"],
-        )
+        yield packed(sums)
 
-    out, ks = Sums(centers), sorted(centers)
-    # As many rows as tasks, each as large as the centres.
-    for r in stored.mapInArrow(run, "n binary, total binary, cost array<double>, looked bigint").toLocalIterator():
-        n, total = np.frombuffer(r["n"], np.int64), np.frombuffer(r["total"])
-        at = 0
-        for k, cost in zip(ks, r["cost"]):
-            d = centers[k].shape[1]
-            out.n[k] += n[at : at + k]
-            out.total[k] += total[at * d : (at + k) * d].reshape(k, d)
-            out.cost[k] += cost
-            at += k
-        out.looked += r["looked"]
+    def add(batches):
+        sums = Sums(centers)
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                sums.join(*row)
+        yield packed(sums)
+
+    each = stored.mapInArrow(read, STATE).withColumn("task", F.spark_partition_id())
+    turn = F.pmod("task", F.lit(ADDING))
+    ordered = each.repartition(turn).sortWithinPartitions(turn, "task")
+    out = Sums(centers)
+    for r in ordered.select("n", "total", "cost", "looked").mapInArrow(add, STATE).collect():
+        out.join(*r)
     return out
 
 
