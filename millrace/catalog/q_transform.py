@@ -207,16 +207,16 @@ _CLUSTER_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 def squares(cols, center):
     """Squared distance of a row to a centre, written out."""
-    return reduce(lambda x, y: x + y, [(F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, center)])
+    away = [F.col(c) - F.lit(float(v)) for c, v in zip(cols, center)]
+    return reduce(lambda x, y: x + y, [a * a for a in away])
 
 
 def means_by_hand(rows, cols, centers):
     """For centres given by a fit: the cost, and the rows and mean of what is next to each, from
     distances compared one by one."""
-    far = [squares(cols, c) for c in centers]
-    least = F.least(*far)
-    number = reduce(lambda w, i: w.when(far[i] == least, i), range(1, len(far)), F.when(far[0] == least, 0))
-    near = rows.select(least.alias("d"), number.alias("i"), *cols)
+    far = F.array(*[squares(cols, c) for c in centers])
+    least = F.array_min(far)
+    near = rows.select(least.alias("d"), (F.array_position(far, least) - 1).cast("int").alias("i"), *cols)
     found = near.groupBy("i").agg(F.sum("d").alias("d"), F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols])
     return {r["i"]: r for r in found.collect()}
 
@@ -244,8 +244,9 @@ def clusters(spark, d):
     centers = kmeans_centers(rows, _CLUSTER_COLS, max_iter=200)
     assigned = assign_to(rows, _CLUSTER_COLS, centers)
     sizes = group_sizes(assigned, "cluster")
-    own = reduce(lambda w, i: w.when(F.col("cluster") == i, squares(_CLUSTER_COLS, centers[i])), range(1, len(centers)), F.when(F.col("cluster") == 0, squares(_CLUSTER_COLS, centers[0])))
-    misplaced = assigned.filter(own > F.least(*[squares(_CLUSTER_COLS, c) for c in centers]) * (1 + 1e-12)).count()
+    far = F.array(*[squares(_CLUSTER_COLS, c) for c in centers])
+    # The number is an expression over the centres: named once, it is worked out once for each row.
+    misplaced = assigned.filter(F.get(far, F.col("cluster")) > F.array_min(far) * (1 + 1e-12)).count()
     by_hand = means_by_hand(rows, _CLUSTER_COLS, centers)
     settled = all(abs(by_hand[i][c] - v) <= 1e-3 for i, center in enumerate(centers) for c, v in zip(_CLUSTER_COLS, center))
     return sizes.agg(
