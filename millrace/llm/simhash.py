@@ -35,6 +35,17 @@ def shingle_hashes(raw: bytes, width: int = SHINGLE) -> list[int]:
     return [h(line[i:j], SEED) for i, j in zip(starts, (ends[width - 1 :] - 1).tolist())]
 
 
+def fingerprint(h: np.ndarray) -> np.uint64:
+    """Bit i is set if over half the hashes have it; zero without any."""
+    if not len(h):
+        return np.uint64(0)
+    count = np.zeros(64, np.int64)
+    for at in range(0, len(h), 4096):
+        octets = h[at : at + 4096].view(np.uint8).reshape(-1, 8)
+        count += np.unpackbits(octets, axis=1, bitorder="little").sum(0, dtype=np.int32)
+    return np.packbits(2 * count > len(h), bitorder="little").view(np.uint64)[0]
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``__row``, the key and ``fp`` (bigint): bit i is set if over half the hashes have it."""
     rows = tagged(docs, key, text).toDF("__row", "doc_id", "text")
@@ -43,14 +54,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         def work(part, raw):
             fps = np.zeros(len(raw), np.uint64)
             for i, t in enumerate(raw):
-                h = np.array(shingle_hashes(t), np.uint64)
-                if not len(h):
-                    continue
-                count = np.zeros(64, np.int64)
-                for at in range(0, len(h), 4096):
-                    octets = h[at : at + 4096].view(np.uint8).reshape(-1, 8)
-                    count += np.unpackbits(octets, axis=1, bitorder="little").sum(0, dtype=np.int32)
-                fps[i] = np.packbits(2 * count > len(h), bitorder="little").view(np.uint64)[0]
+                fps[i] = fingerprint(np.array(shingle_hashes(t), np.uint64))
             return pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(fps.view(np.int64))], ["__row", "doc_id", "fp"]
             )

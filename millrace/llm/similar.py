@@ -1,6 +1,7 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands, then exact sets.
+"""Near copies by the Jaccard similarity of word shingles: SimHash and MinHash bands, then exact sets.
 
-Texts of which one band of least hashes agrees are candidates. Every candidate pair is either
+Texts whose SimHash fingerprints are joined by differences of at most three bits, and texts of
+which one band of least hashes agrees, are candidates. Every candidate pair of a band is either
 compared by its whole shingle sets or already joined by pairs that were.
 """
 
@@ -13,9 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
+from millrace.llm import simhash
 from millrace.llm.batches import fresh, map_texts, tagged
 from millrace.llm.components import components
-from millrace.llm.simhash import shingle_hashes
+from millrace.llm.simhash import fingerprint, shingle_hashes
 from millrace.session import materialize
 
 WIDTH = 5
@@ -60,7 +62,8 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
 
 
 def signatures(rows: DataFrame, width: int) -> DataFrame:
-    """``__row``, ``doc_id``, ``fp`` (the same for equal shingle sets), ``size`` and ``bands``."""
+    """``__row``, ``doc_id``, ``fp`` (the same for equal shingle sets), ``size``, ``bands`` and
+    ``print``, the SimHash fingerprint of the set."""
 
     def make():
         def work(part, raw):
@@ -68,14 +71,15 @@ def signatures(rows: DataFrame, width: int) -> DataFrame:
             fps = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
             return pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(fps, pa.int64()), pa.array(map(len, sets), pa.int32()),
-                 pa.array(map(bands, sets), pa.list_(pa.int64()))],
-                ["__row", "doc_id", "fp", "size", "bands"],
+                 pa.array(map(bands, sets), pa.list_(pa.int64())),
+                 pa.array(np.array([fingerprint(s) for s in sets], np.uint64).view(np.int64))],
+                ["__row", "doc_id", "fp", "size", "bands", "print"],
             )
 
         return work
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_texts(rows, make, f"__row bigint, doc_id {kind}, fp bigint, size int, bands array<bigint>")
+    return map_texts(rows, make, f"__row bigint, doc_id {kind}, fp bigint, size int, bands array<bigint>, print bigint")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -225,10 +229,26 @@ def _between_components(of: DataFrame, texts: DataFrame, width: int, similarity:
     return compared(laid, width, similarity)
 
 
+def _by_fingerprint(nodes: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: each text ``b`` beside the first text of its component of fingerprints, which
+    meet at the anchors of ``simhash``; pairs that their sizes rule out are left out."""
+    first = F.min(F.struct("fp", "size"))
+    prints = materialize(nodes.groupBy("print").agg(first.alias("head")), "prints")
+    roots = components(simhash.links(prints.select(F.col("print").alias("fp"))))
+    of = prints.join(roots, prints["print"] == roots["node"], "left").select(
+        "print", "head", F.coalesce("root", "print").alias("root")
+    )
+    heads = of.groupBy("root").agg(F.min("head").alias("head"))
+    met = nodes.join(of.select("print", "root"), "print").join(heads, "root")
+    fits = F.least("size", "head.size") >= similarity * F.greatest("size", "head.size")
+    return met.filter((F.col("fp") != F.col("head.fp")) & fits).select(F.col("head.fp").alias("a"), F.col("fp").alias("b"))
+
+
 def links(nodes: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """Links that connect all candidates that are similar.
 
-    Every text is first compared with one other, the first text among those it shares one of
+    Every text is first compared with at most two others: the first text of its component of
+    SimHash fingerprints, and the first text among those it shares one of
     the first ``STAR_BANDS`` bands with; that joins most near copies. Texts that share any band
     and are still in different components are then compared one by one inside tasks; only links
     leave a task, never pairs that are not similar. Bands of one component need no more work, so
@@ -241,7 +261,8 @@ def links(nodes: DataFrame, texts: DataFrame, width: int, similarity: float) ->
     fits = F.least("size", "head_size") >= similarity * F.greatest("size", "head_size")
     met = cells.join(shared, "band").filter((F.col("fp") != F.col("a")) & fits)
     tried = met.groupBy(F.col("fp").alias("b")).agg(F.min("a").alias("a"))
-    first = materialize(verified(tried.select("a", "b"), texts, width, similarity), "similar")
+    pairs = materialize(_by_fingerprint(nodes, similarity).unionByName(tried.select("a", "b")).distinct(), "tried")
+    first = materialize(verified(pairs, texts, width, similarity), "similar")
     roots = components(first)
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "bands")
     of = materialize(rooted.select("fp", "root", F.explode("bands").alias("band")), "band-members")
@@ -263,7 +284,7 @@ def similar_copies(
     signed = materialize(signatures(rows, width), "signatures")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("__row").alias("row")))
     nodes = materialize(
-        signed.groupBy("fp").agg(first.alias("best"), F.first("size").alias("size"), F.first("bands").alias("bands")),
+        signed.groupBy("fp").agg(first.alias("best"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("print").alias("print")),
         "signature-nodes",
     )
     texts = rows.join(nodes.select("fp", F.col("best.row").alias("__row")), "__row").select("fp", "text")
