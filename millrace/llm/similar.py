@@ -212,18 +212,27 @@ def _between_components(of: DataFrame, texts: DataFrame, width: int, similarity:
     """Links between texts of one band and different components, ``of`` is ``(fp, root, band)``.
 
     The largest component of a band is left as it is; every other text of the band is a home.
-    Homes are dealt into parts of about ``HOMES``; a part gets all texts that share a band with
-    one of its homes, each once, and compares them all.
+    Homes are dealt into parts of about ``HOMES`` by the largest band that they are in, so homes
+    that share bands are together; a part gets all texts that share a band with one of its
+    homes, each once, and compares them all.
     """
     sizes = of.groupBy("band", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
-    several = materialize(main.filter("roots > 1").select("band", "main"), "mixed-bands")
+    main = sizes.groupBy("band").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("n")
+    )
+    several = materialize(main.filter("roots > 1").select("band", "main", "n"), "mixed-bands")
     mixed = materialize(of.join(several, "band"), "mixed-texts")
-    few = mixed.filter("root <> main").select("fp").distinct()
-    parts = max(1, -(-few.count() // HOMES))
-    homes = materialize(few.select("fp", F.pmod(F.xxhash64("fp"), F.lit(parts)).alias("part")), "homes")
-    reach = mixed.filter("root <> main").join(homes, "fp").select("band", "part").distinct()
-    routed = mixed.join(reach, "band").select("part", "fp", "root").distinct()
+    few = materialize(
+        mixed.filter("root <> main").groupBy("fp").agg(F.max(F.struct("n", "band")).alias("most")).select("fp", "most.band"), "homes"
+    )
+    n_parts = max(1, -(-few.count() // HOMES))
+    cuts = few.groupBy("band").agg(F.ceil(F.count("*") / HOMES).cast("int").alias("cuts"))
+    cut = F.pmod(F.xxhash64("fp"), "cuts")
+    homes = materialize(few.join(cuts, "band").select("fp", F.pmod(F.xxhash64("band", cut), F.lit(n_parts)).alias("part")), "dealt-homes")
+    # The parts of a band are one list, so a text has one row for each of its bands, then one list.
+    reach = mixed.filter("root <> main").join(homes, "fp").groupBy("band").agg(F.collect_set("part").alias("parts"))
+    met = mixed.join(reach, "band").groupBy("fp", "root").agg(F.array_distinct(F.flatten(F.collect_set("parts"))).alias("parts"))
+    routed = met.select(F.explode("parts").alias("part"), "fp", "root")
     marked = routed.join(homes.withColumn("home", F.lit(True)), ["part", "fp"], "left")
     laid = marked.select("part", F.coalesce("home", F.lit(False)).alias("home"), "fp", "root").join(texts, "fp")
     return compared(laid, width, similarity)
