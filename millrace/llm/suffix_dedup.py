@@ -181,14 +181,32 @@ class Slice:
         return out
 
 
+def _order(a: np.ndarray, b: np.ndarray | None = None, kind: str | None = None) -> np.ndarray:
+    """An order of the names ``a``, or ``(a, b)``, in which equal ones are neighbours; with the
+    kind ``stable`` they stay as they come.
+
+    The 64-bit part alone is sorted, in which few names agree that are not equal; only if some
+    do, both parts are.
+    """
+    order = np.argsort(a, kind=kind)
+    if b is not None:
+        s, t = a[order], b[order]
+        if ((s[1:] == s[:-1]) & (t[1:] != t[:-1])).any():
+            return np.lexsort((b, a))
+    return order
+
+
 def _ranked(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct names in order, the place of each name among them, and how often each is there."""
     if names.dtype.names is None:
-        order = np.argsort(names, kind="stable")
+        order = _order(names)
+        s = names[order]
+        new = s[1:] != s[:-1]
     else:
-        order = np.lexsort((names["b"], names["a"]))
-    s = names[order]
-    first = np.append(True, s[1:] != s[:-1]) if len(s) else np.zeros(0, bool)
+        order = _order(np.ascontiguousarray(names["a"]), np.ascontiguousarray(names["b"]))
+        s = names[order]
+        new = (s["a"][1:] != s["a"][:-1]) | (s["b"][1:] != s["b"][:-1])
+    first = np.append(True, new) if len(s) else np.zeros(0, bool)
     rank = np.empty(len(s), np.int64)
     rank[order] = np.cumsum(first) - 1
     return s[first], rank, np.bincount(rank, minlength=int(first.sum())) if len(s) else rank
@@ -271,10 +289,11 @@ def _shared(sent: DataFrame, pairs: bool) -> DataFrame:
         a = np.concatenate([x for x, _ in read])
         if pairs:
             b = np.concatenate([y for _, y in read])
-            order = np.lexsort((b, a))
+            # Stable: one slice is to stand for all names of a passage, or more places stay open.
+            order = _order(a, b, "stable")
             same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
         else:
-            order = np.argsort(a, kind="stable")
+            order = _order(a, kind="stable")
             same = a[order][1:] == a[order][:-1]
         twice, first = np.zeros(len(a), bool), np.ones(len(a), bool)
         twice[order[1:][same]] = True
