@@ -11,6 +11,8 @@ long they are; the texts behind the hashes that it names are looked up before th
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,13 +65,17 @@ def _counted(df: DataFrame, key: str, found: DataFrame | None) -> DataFrame:
     return rows.groupBy(k).agg(F.count(F.lit(1)).alias("n"))
 
 
-def candidates(df: DataFrame, key: str, more_than: int) -> tuple[DataFrame | None, int]:
+def candidates(
+    df: DataFrame, key: str, more_than: int, wanted: int | None = None
+) -> tuple[DataFrame | None, int]:
     """``(key)`` of all keys that may have over ``more_than`` rows, and the number of null keys.
 
     No key with more rows is missing; null is not among them. None instead of a table when
     no summary of the largest size can tell, or the type of the key allows none: then every
-    key may be one. An empty table has no candidates.
+    key may be one. An empty table has no candidates. Keys with over ``wanted`` rows, a lower
+    number, are also named, or as many of them as the largest summary can tell.
     """
+    wanted = more_than if wanted is None else min(wanted, more_than)
     if df.schema[key].dataType.simpleString() not in SUMMARISED:
         return None, df.filter(ref(key).isNull()).count()
     if df.isEmpty():
@@ -78,14 +84,17 @@ def candidates(df: DataFrame, key: str, more_than: int) -> tuple[DataFrame | Non
     while True:
         stored = materialize(summary(df, key, size), "key-summary")
         rows, nulls = stored.select("rows", "nulls").first()
-        if 2 * ERROR * rows <= size * more_than:
+        if 2 * ERROR * rows <= size * wanted:
             break
         if size >= LARGEST_SIZE:
-            return None, nulls
-        size = min(LARGEST_SIZE, int(2 * ERROR * rows / more_than) + 1)
+            if 2 * ERROR * rows > size * more_than:
+                return None, nulls
+            wanted = 2 * ERROR * rows / size
+            break
+        size = min(LARGEST_SIZE, int(2 * ERROR * rows / wanted) + 1)
     # An estimate is never below the true count by more than the error.
     likely = stored.select(F.explode("top").alias("t")).filter(
-        F.col("t.item").isNotNull() & (F.col("t.count") + ERROR * rows / size > more_than)
+        F.col("t.item").isNotNull() & (F.col("t.count") + ERROR * rows / size > wanted)
     )
     items = likely.select(F.col("t.item").alias(key))
     if not _long(df, key):
@@ -107,14 +116,20 @@ def frequent_keys(df: DataFrame, key: str, more_than: int) -> DataFrame:
     return counted.unionByName(df.sparkSession.createDataFrame([(None, nulls)], f"`{key}` {kind}, n bigint"))
 
 
-def frequent_in_either(a: DataFrame, b: DataFrame, key: str, more_than: int) -> DataFrame | None:
+def frequent_in_either(
+    a: DataFrame, b: DataFrame, key: str, more_than: int, pairs: int | None = None
+) -> DataFrame | None:
     """``(key, na, nb)`` of every key, null among them, with over ``more_than`` rows in one of
-    the tables, with its exact number in both; None when there is no such key.
+    the tables, with its exact number in both; None when there is no such key. With ``pairs``
+    also keys, null excepted, whose rows make over that many pairs.
 
     The keys of both tables are read once, without a shuffle; only if the summaries name
-    keys, these are looked up and counted in a second reading.
+    keys, these are looked up and counted in a second reading. Keys named for their pairs have
+    over the root of ``pairs`` rows in one table; in tables so large that no summary tells keys
+    of that size (rows over 140,000 times the root), only those are named that it can tell.
     """
-    (of_a, null_a), (of_b, null_b) = candidates(a, key, more_than), candidates(b, key, more_than)
+    wanted = None if pairs is None else isqrt(pairs)
+    (of_a, null_a), (of_b, null_b) = (candidates(df, key, more_than, wanted) for df in (a, b))
     found = None if of_a is None or of_b is None else materialize(of_a.union(of_b).distinct(), "likely-keys")
     spark, kind = a.sparkSession, a.schema[key].dataType.simpleString()
     nulls = spark.createDataFrame([(None, null_a, null_b)], f"`{key}` {kind}, na bigint, nb bigint")
@@ -123,6 +138,9 @@ def frequent_in_either(a: DataFrame, b: DataFrame, key: str, more_than: int) ->
         return many if max(null_a, null_b) > more_than else None
     counts = [_counted(df, key, found).withColumnRenamed("n", name) for df, name in ((a, "na"), (b, "nb"))]
     both = counts[0].join(counts[1], key, "full").na.fill(0, ["na", "nb"])
-    hot = both.filter((F.col("na") > more_than) | (F.col("nb") > more_than)).unionByName(many)
+    is_hot = (F.col("na") > more_than) | (F.col("nb") > more_than)
+    if pairs is not None:
+        is_hot = is_hot | (F.col("na").cast("double") * F.col("nb") > pairs)
+    hot = both.filter(is_hot).unionByName(many)
     hot = materialize(hot, "hot-keys")
     return None if hot.isEmpty() else hot

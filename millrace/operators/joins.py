@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,13 @@ from millrace.session import broadcast_small, materialize
 PLACEHOLDER_KEYS = ("unknown",)
 # Rows of one key beyond which it is joined in parts of that many rows.
 HOT_ROWS = 2_000_000
+# Pairs of rows of one key beyond which it is joined in parts of that many pairs.
+HOT_PAIRS = 1 << 24
 BROADCAST_ROWS = 10_000
+# Rows of a broadcast side that one row may meet: the other side stays in the tasks that read it.
+BROADCAST_MEETS = 1_000
+# Tasks of a grid at most, unless Spark's own number is higher.
+GRID_TASKS = 4_096
 
 
 def _match_key(key: str, placeholders: Sequence[str]) -> Column:
@@ -31,8 +38,8 @@ def _match_key(key: str, placeholders: Sequence[str]) -> Column:
 
 def _hot_keys(a: DataFrame, b: DataFrame, hot_rows: int) -> DataFrame | None:
     """``(__k, __na, __nb)`` of every match key (null among them) with over ``hot_rows`` rows on
-    either side, with its rows on both; None when there is no such key."""
-    found = frequent_in_either(a, b, "__k", hot_rows)
+    either side or over ``HOT_PAIRS`` pairs, with its rows on both; None when there is no such key."""
+    found = frequent_in_either(a, b, "__k", hot_rows, HOT_PAIRS)
     return None if found is None else found.withColumnsRenamed({"na": "__na", "nb": "__nb"})
 
 
@@ -84,49 +91,69 @@ def _join(
     if how == "outer":
         parts.append(shaped(b_all.filter(alone)))
     shared = "__na > 0 and __nb > 0"
-    n_a, n_b = found.filter("__k is not null").filter(shared).agg(F.sum("__na"), F.sum("__nb")).first()
-    if n_a:
-        parts.append(shaped(_hot_join(a_all.filter(shared), b_all.filter(shared), n_a, n_b, hot_rows)))
+    n = found.filter("__k is not null").filter(shared).agg(
+        F.sum("__na"), F.sum("__nb"), F.max("__na"), F.max("__nb"),
+        F.sum(_parts("__na", "__nb", hot_rows) * _parts("__nb", "__na", hot_rows)),
+    ).first()
+    if n[0]:
+        # the left key is that of the pair
+        parts.append(shaped(_hot_join(a_all.filter(shared), b_all.filter(shared).drop("__rk"), n, hot_rows)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
-def _hot_join(left: DataFrame, right: DataFrame, n_left: int, n_right: int, hot_rows: int) -> DataFrame:
+def _parts(own: str, other: str, hot_rows: int) -> Column:
+    """Parts that the rows of a key are cut into on one side, so that with the parts of the
+    other side no cell has over ``hot_rows`` rows of a side or over ``HOT_PAIRS`` pairs."""
+    met = F.least(F.col(other), F.lit(isqrt(HOT_PAIRS)))
+    rows = F.least(F.lit(float(hot_rows)), F.lit(float(HOT_PAIRS)) / met)
+    return F.ceil(F.col(own) / rows)
+
+
+def _hot_join(left: DataFrame, right: DataFrame, n: Sequence[float], hot_rows: int) -> DataFrame:
     """Inner join of hot keys: the side with few and short rows is broadcast, so that the
-    other one is not shuffled; with many rows on both sides they meet in a grid."""
+    other one is not shuffled; with many rows on both sides they meet in a grid.
+
+    ``n`` holds the rows of both sides, those of their largest keys, and the cells of the grid.
+    """
+    n_left, n_right, most_left, most_right, cells = n
     plain = [df.drop("__na", "__nb") for df in (left, right)]
-    for few, n, many in ((plain[1], n_right, plain[0]), (plain[0], n_left, plain[1])):
-        if n <= BROADCAST_ROWS:
+    for few, rows, most, many in (
+        (plain[1], n_right, most_right, plain[0]),
+        (plain[0], n_left, most_left, plain[1]),
+    ):
+        if rows <= BROADCAST_ROWS and most <= BROADCAST_MEETS:
             small = broadcast_small(few, BROADCAST_ROWS)
             if small is not few:
                 return many.join(small, "__k", "inner")
-    return _grid_join(left, right, hot_rows)
+    return _grid_join(left, right, hot_rows, cells)
 
 
-def _grid_join(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame:
+def _grid_join(left: DataFrame, right: DataFrame, hot_rows: int, cells: int) -> DataFrame:
     """Inner join of hot keys: the rows of a key are cut into parts on both sides, as many
     as its counts ask for, and every part meets every part of the other side in a cell of
     its own.
 
     The random part numbers are written down first, so that a repeated task
-    cannot draw other ones.
+    cannot draw other ones. Twice as many tasks as cells leave most cells alone in a task; the
+    number is given, as Spark's own choice goes by bytes and not by pairs.
     """
+    usual = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(usual, min(2 * cells, GRID_TASKS))
 
-    def size(name: str) -> Column:
-        return F.ceil(F.col(name) / F.lit(hot_rows)).cast("int")
-
-    def drawn(df: DataFrame, seed: int, own: str, name: str) -> DataFrame:
-        part = F.floor(F.rand(seed) * size(own)).cast("int")
+    def drawn(df: DataFrame, seed: int, own: str, other: str, name: str) -> DataFrame:
+        part = F.floor(F.rand(seed) * _parts(own, other, hot_rows)).cast("int")
         return materialize(df.withColumn(name, part), "hot-rows")
 
-    def every(name: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), size(name) - 1))
+    def dealt(df: DataFrame, own: str, other: str, name: str) -> DataFrame:
+        every = F.sequence(F.lit(0), (_parts(own, other, hot_rows) - 1).cast("int"))
+        return df.withColumn(name, F.explode(every)).drop("__na", "__nb").repartition(tasks, "__k", "__i", "__j")
 
-    a = drawn(left, 42, "__na", "__i").withColumn("__j", every("__nb")).drop("__na", "__nb")
-    b = drawn(right, 43, "__nb", "__j").withColumn("__i", every("__na")).drop("__na", "__nb")
-    return a.join(b, ["__k", "__i", "__j"], "inner")
+    a = dealt(drawn(left, 42, "__na", "__nb", "__i"), "__nb", "__na", "__j")
+    b = dealt(drawn(right, 43, "__nb", "__na", "__j"), "__na", "__nb", "__i")
+    return a.join(b.hint("merge"), ["__k", "__i", "__j"], "inner")
 
 
 def left_join(

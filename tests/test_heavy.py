@@ -39,6 +39,26 @@ def test_counts_of_both_sides(spark):
     assert as_dict(H.frequent_in_either(*frames, "k", 30)) == {None: (4, 40)}
 
 
+def test_keys_of_many_pairs(spark):
+    a = [1] * 30 + [2] * 5 + [3] * 11 + [None] * 40
+    b = [1] * 2 + [2] * 20 + [4] * 12 + [None] * 40
+    frames = [spark.createDataFrame([(k,) for k in rows], "k int").repartition(3) for rows in (a, b)]
+    assert as_dict(H.frequent_in_either(*frames, "k", 100, pairs=60)) == {2: (5, 20)}
+    assert as_dict(H.frequent_in_either(*frames, "k", 100, pairs=59)) == {1: (30, 2), 2: (5, 20)}
+    assert H.frequent_in_either(*frames, "k", 100, pairs=100) is None
+
+
+def test_a_wanted_size_that_no_summary_tells_is_raised(spark, monkeypatch):
+    monkeypatch.setattr(H, "FIRST_SIZE", 16)
+    monkeypatch.setattr(H, "LARGEST_SIZE", 64)
+    keys = ["a"] * 500 + ["b"] * 350 + [f"k{i}" for i in range(2_150)]
+    random.Random(7).shuffle(keys)
+    df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(5)
+    found, _ = H.candidates(df, "k", 400, 3)
+    assert {"a", "b"} <= {r[0] for r in found.collect()}
+    assert H.candidates(df, "k", 300, 3)[0] is None
+
+
 def test_empty_tables_and_keys_that_no_summary_takes(spark):
     none = spark.createDataFrame([], "k string")
     assert H.frequent_keys(none, "k", 5).count() == 0 and H.frequent_in_either(none, none, "k", 5) is None

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import joins as J
 
@@ -73,3 +74,25 @@ def test_integrate_drops_clashing_names_and_unnamed_matches(spark):
     ]
     parity = J.integrate(seasons, players, data, placeholder_keys=())
     assert parity.filter("ss_PTS = 2").first()["pd_weight"] == 21
+
+
+def test_a_key_of_many_pairs_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(J, "HOT_PAIRS", 2_000, raising=False)
+    monkeypatch.setattr(J, "BROADCAST_MEETS", 20, raising=False)
+    left = spark.createDataFrame([("unknown", i) for i in range(100)] + [("a", -1), ("b", -2)], "name_norm string, v int")
+    right = spark.createDataFrame([("unknown", i) for i in range(90)] + [("a", -3), ("c", -4)], "name_norm string, w int")
+    got = J.outer_join(left, right).withColumn("task", F.spark_partition_id()).collect()
+    want = [("unknown", i, j) for i in range(100) for j in range(90)]
+    want += [("a", -1, -3), ("b", -2, None), ("c", None, -4)]
+    assert Counter(tuple(r)[:3] for r in got) == Counter(want)
+    assert max(Counter(r["task"] for r in got).values()) <= 4_500
+
+
+@pytest.mark.parametrize("na,nb,hot_rows,want", [
+    (100, 100, 1_000, (10, 10)), (5, 5, 1_000, (1, 1)), (1_000, 4, 1_000, (40, 1)), (1_000, 4, 10, (100, 1)), (15, 60, 1_000, (2, 6)),
+])
+def test_cells_hold_no_more_pairs_than_allowed(spark, monkeypatch, na, nb, hot_rows, want):
+    monkeypatch.setattr(J, "HOT_PAIRS", 100)
+    counts = spark.createDataFrame([(na, nb)], "__na bigint, __nb bigint")
+    pa, pb = counts.select(J._parts("__na", "__nb", hot_rows), J._parts("__nb", "__na", hot_rows)).first()
+    assert (pa, pb) == want and na / pa * nb / pb <= 100 and max(na / pa, nb / pb) <= hot_rows
