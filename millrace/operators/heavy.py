@@ -25,6 +25,8 @@ FIRST_SIZE, LARGEST_SIZE = 1 << 16, 1_000_000
 ERROR = 3.5
 #: Groups of tasks whose summaries are added up before the last step.
 GROUPS = 64
+#: Summaries that the last step adds up.
+LAST_GROUPS = 8
 BROADCAST_ROWS = 10_000
 # Types of keys that a summary takes.
 SUMMARISED = ("string", "tinyint", "smallint", "int", "bigint", "date", "timestamp", "boolean", "float", "double")
@@ -49,10 +51,14 @@ def summary(df: DataFrame, key: str, size: int) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("__k").isNull()).alias("nulls"),
         F.expr(f"approx_top_k_accumulate(__k, {size})").alias("state"),
     )
-    whole = parts.agg(
+    combined = [
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("nulls"), F.lit(0)).alias("nulls"),
         F.expr(f"approx_top_k_combine(state, {size})").alias("state"),
-    )
+    ]
+    # Without groups a state is also made of a part without rows, which Spark cannot store; so
+    # groups are added up by groups, and the last ones in one part.
+    few = parts.withColumn("__g", F.pmod("__g", F.lit(LAST_GROUPS))).groupBy("__g").agg(*combined)
+    whole = few.repartition(1).agg(*combined)
     return whole.select("rows", "nulls", F.expr(f"approx_top_k_estimate(state, {size})").alias("top"))
 
 

@@ -80,3 +80,16 @@ def test_no_exchange_by_key(spark):
     plan = H.summary(df, "name", 1024)._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
     assert exchanges and all("__g" in x or "SinglePartition" in x for x in exchanges)
+
+
+def test_more_parts_than_groups(spark):
+    names = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in names}
+    df = spark.createDataFrame([("a",)] * 9 + [("b",)] * 2 + [(None,)] * 3, "k string").repartition(2)
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        assert as_dict(H.frequent_keys(df, "k", 4)) == {"a": (9,)}
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
